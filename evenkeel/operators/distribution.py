@@ -22,12 +22,26 @@ MAX_BUCKETS = 8192
 
 
 def _long(tagged: DataFrame, features: Sequence[str], kind: str) -> DataFrame:
+    """One row per row and feature: ``feature``, ``value``, ``in_ref``, ``in_prod``.
+
+    The flags travel inside the unpivoted value. As identifier columns of the
+    unpivot they would keep Spark from recognizing that two uses of this frame
+    in one query are the same, and the input would be read and shuffled twice.
+    """
+
     def value(name: str) -> Column:
         column = F.col(f"`{name}`").cast(kind)
         return F.when(~F.isnan(column), column) if kind == "double" else column
 
-    wide = tagged.select("in_ref", "in_prod", *[value(f).alias(f) for f in features])
-    return wide.unpivot(["in_ref", "in_prod"], list(features), "feature", "value")
+    cells = tagged.select(
+        *[
+            F.struct(value(f).alias("value"), F.col("in_ref"), F.col("in_prod")).alias(f)
+            for f in features
+        ]
+    )
+    return cells.unpivot([], list(features), "feature", "cell").select(
+        "feature", "cell.value", "cell.in_ref", "cell.in_prod"
+    )
 
 
 def value_counts(tagged: DataFrame, features: Sequence[str], kind: str) -> DataFrame:
@@ -99,82 +113,86 @@ def _search(df: DataFrame, bounds: str, value: str, size: int) -> DataFrame:
     return df
 
 
-def cumulative(counts: DataFrame, buckets: int | None = None) -> DataFrame:
+def quantile_bounds(tagged: DataFrame, features: Sequence[str], buckets: int) -> DataFrame:
+    """Approximate quantiles of each feature: one row per feature."""
+    shares = [i / buckets for i in range(1, buckets)]
+    return (
+        _long(tagged, features, "double")
+        .groupBy("feature")
+        .agg(F.percentile_approx("value", shares, 4 * buckets).alias("bounds"))
+    )
+
+
+def cumulative(
+    tagged: DataFrame, features: Sequence[str], buckets: int | None = None
+) -> DataFrame:
     """Numeric value counts with running totals over the sorted values of a feature.
 
     A window over the whole feature would sort all its values in one task.
-    Instead each feature is cut at approximate quantiles of its distinct values
-    into buckets of like size; running totals are taken within a bucket, and the
-    totals of the buckets before it (at most ``buckets`` rows per feature) are
-    added. The result is exact however rough the quantiles are.
-
-    Adds ``cum_ref``, ``cum_prod`` (rows up to and including the value),
-    ``next_value``, the totals of the feature, and the mean of either slice.
+    Instead each feature is cut at approximate quantiles into buckets; running
+    totals are taken within a bucket, and the totals of the buckets before it
+    (at most ``buckets`` rows per feature, broadcast) are added. The result is
+    exact however rough the quantiles are. A value that fills whole buckets by
+    itself is one row by then.
+
+    Per distinct value: ``n_*`` rows, ``cum_*`` rows up to and including it, and
+    the ``next_value``; missing values are one row with a null value and
+    ``missing_*`` rows. Per feature: ``rows_*``, ``total_*`` rows with a value,
+    and the ``mean_*``.
     """
-    buckets = buckets or default_buckets(counts)
+    buckets = buckets or default_buckets(tagged)
     if buckets & (buckets - 1):
         raise ValueError("buckets must be a power of two")
-    value = F.col("value")
-    shares = [i / buckets for i in range(1, buckets)]
-    feature_stats = counts.groupBy("feature").agg(
-        F.percentile_approx("value", shares, 4 * buckets).alias("bounds"),
-        *[nonempty(F.sum(f"n_{s}"), s).alias(f"rows_{s}") for s in SIDES],
-        *[F.sum(present(f"n_{s}")).alias(f"total_{s}") for s in SIDES],
-        *[
-            F.try_divide(F.sum(F.col(f"n_{s}") * value), F.sum(present(f"n_{s}"))).alias(
-                f"mean_{s}"
-            )
-            for s in SIDES
-        ],
-        F.count("value").alias("n_values"),
-    )
-    joined = counts.join(F.broadcast(feature_stats), "feature")
-    placed = _search(joined, "bounds", "value", buckets).select(
-        "feature",
-        "bucket",
-        "value",
-        *[absent(f"n_{s}").alias(f"missing_{s}") for s in SIDES],
-        *[present(f"n_{s}").alias(f"n_{s}") for s in SIDES],
-        *[f"{name}_{s}" for s in SIDES for name in ("rows", "total", "mean")],
-        "n_values",
-    )
-    by_bucket = W.partitionBy("feature").orderBy("bucket")
-    before = by_bucket.rowsBetween(W.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("feature", "bucket")
-        .agg(
-            F.sum("n_ref").alias("b_ref"),
-            F.sum("n_prod").alias("b_prod"),
-            F.min("value").alias("first_value"),
-        )
-        .select(
-            "feature",
-            "bucket",
-            F.coalesce(F.sum("b_ref").over(before), F.lit(0)).alias("start_ref"),
-            F.coalesce(F.sum("b_prod").over(before), F.lit(0)).alias("start_prod"),
-            F.lead("first_value").over(by_bucket).alias("next_start"),
-        )
+    counts = value_counts(tagged, features, "double")
+    bounds = F.broadcast(quantile_bounds(tagged, features, buckets))
+    placed = _search(counts.join(bounds, "feature"), "bounds", "value", buckets).select(
+        "feature", "bucket", "value", "n_ref", "n_prod"
     )
+    starts = _bucket_starts(placed)
     inside = W.partitionBy("feature", "bucket").orderBy("value")
     running = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     local = placed.withColumns(
         {
-            "run_ref": F.sum("n_ref").over(running),
-            "run_prod": F.sum("n_prod").over(running),
+            **{f"run_{s}": F.sum(present(f"n_{s}")).over(running) for s in SIDES},
             "next_inside": F.lead("value").over(inside),
         }
     )
     return local.join(F.broadcast(starts), ["feature", "bucket"]).select(
         "feature",
         "value",
-        *[f"{name}_{s}" for s in SIDES for name in ("n", "missing", "rows", "total", "mean")],
-        "n_values",
-        (F.col("start_ref") + F.col("run_ref")).alias("cum_ref"),
-        (F.col("start_prod") + F.col("run_prod")).alias("cum_prod"),
+        *[present(f"n_{s}").alias(f"n_{s}") for s in SIDES],
+        *[absent(f"n_{s}").alias(f"missing_{s}") for s in SIDES],
+        *[(F.col(f"start_{s}") + F.col(f"run_{s}")).alias(f"cum_{s}") for s in SIDES],
+        *[f"{name}_{s}" for s in SIDES for name in ("rows", "total", "mean")],
         F.coalesce("next_inside", "next_start").alias("next_value"),
     )
 
 
+def _bucket_starts(placed: DataFrame) -> DataFrame:
+    """Per bucket the running totals before it, with the totals of its feature."""
+    sums = placed.groupBy("feature", "bucket").agg(
+        *[F.sum(f"n_{s}").alias(f"b_rows_{s}") for s in SIDES],
+        *[F.sum(present(f"n_{s}")).alias(f"b_total_{s}") for s in SIDES],
+        *[F.sum(F.col(f"n_{s}") * F.col("value")).alias(f"b_sum_{s}") for s in SIDES],
+        F.min("value").alias("first_value"),
+    )
+    whole = W.partitionBy("feature")
+    order = whole.orderBy("bucket")
+    before = order.rowsBetween(W.unboundedPreceding, -1)
+    columns = []
+    for s in SIDES:
+        rows, total = F.sum(f"b_rows_{s}").over(whole), F.sum(f"b_total_{s}").over(whole)
+        columns += [
+            F.coalesce(F.sum(f"b_total_{s}").over(before), F.lit(0)).alias(f"start_{s}"),
+            nonempty(rows, s).alias(f"rows_{s}"),
+            total.alias(f"total_{s}"),
+            F.try_divide(F.sum(f"b_sum_{s}").over(whole), total).alias(f"mean_{s}"),
+        ]
+    return sums.select(
+        "feature", "bucket", *columns, F.lead("first_value").over(order).alias("next_start")
+    )
+
+
 def numeric_edges(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
     """Lowest and highest value of each feature over both slices: one row each."""
     return (

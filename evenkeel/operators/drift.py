@@ -24,11 +24,7 @@ def numeric_statistics(
     ``wasserstein_norm`` is the area between the two distribution functions in
     units of the reference's population standard deviation.
     """
-    ranked = dist.cumulative(dist.value_counts(tagged, features, "double"), buckets)
-    return _numeric(ranked)
-
-
-def _numeric(ranked: DataFrame) -> DataFrame:
+    ranked = dist.cumulative(tagged, features, buckets)
     gap = F.abs(
         F.try_divide(F.col("cum_ref"), F.col("total_ref"))
         - F.try_divide(F.col("cum_prod"), F.col("total_prod"))
@@ -60,12 +56,13 @@ def category_statistics(tagged: DataFrame, features: Sequence[str]) -> DataFrame
 
     The chi-square compares both slices with their pooled shares, so a category
     seen in one slice only is fine. The z-test is given where a feature has
-    exactly two values and looks at the first in sort order. The Jensen-Shannon
-    distance uses natural logarithms.
+    exactly two values; its statistic is the absolute value, which is the same
+    for either of them. The Jensen-Shannon distance uses natural logarithms.
     """
     counts = dist.with_totals(dist.value_counts(tagged, features, "string"))
-    seen = counts.where(F.col("value").isNotNull())
-    a, b = F.col("n_ref").cast("double"), F.col("n_prod").cast("double")
+    # Missing values weigh nothing. Filtering them out would change the counts'
+    # plan below its shuffle, and the totals could not share that shuffle.
+    a, b = dist.present("n_ref").cast("double"), dist.present("n_prod").cast("double")
     total_a, total_b = F.col("total_ref").cast("double"), F.col("total_prod").cast("double")
     cross = a * total_b - b * total_a
     term = F.try_divide(cross * cross, (a + b) * total_a * total_b)
@@ -75,13 +72,14 @@ def category_statistics(tagged: DataFrame, features: Sequence[str]) -> DataFrame
     def divergence(share: Column) -> Column:
         return F.when(share > 0, share * F.ln(share / middle)).when(share == 0, 0.0)
 
-    out = seen.groupBy("feature").agg(
+    out = counts.groupBy("feature").agg(
         F.any_value("total_ref").alias("n_ref"),
         F.any_value("total_prod").alias("n_prod"),
         F.any_value("n_values").alias("n_values"),
         F.sum(term).alias("chi2"),
         F.sum((divergence(p) + divergence(q)) / 2).alias("js"),
-        F.min(F.struct("value", "n_ref", "n_prod")).alias("first"),
+        F.sum(F.abs(p - q)).alias("apart"),
+        F.sum(F.pow(F.try_divide(a + b, total_a + total_b), F.lit(2))).alias("same"),
     )
     return _with_tests(out)
 
@@ -90,11 +88,12 @@ def _with_tests(out: DataFrame) -> DataFrame:
     both = (F.col("n_ref") > 0) & (F.col("n_prod") > 0)
     degrees = F.col("n_values") - 1
     n_a, n_b = F.col("n_ref"), F.col("n_prod")
-    share_a = F.try_divide(F.col("first.n_ref"), n_a)
-    share_b = F.try_divide(F.col("first.n_prod"), n_b)
-    pooled = F.try_divide(F.col("first.n_ref") + F.col("first.n_prod"), n_a + n_b)
-    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), n_a) + F.try_divide(F.lit(1), n_b)))
-    z = F.when(F.col("n_values") == 2, F.try_divide(share_a - share_b, error))
+    # With two values of pooled shares s and 1 - s: the sum of absolute gaps is
+    # twice the gap, and one minus the sum of squared shares is 2 s (1 - s).
+    error = F.sqrt(
+        (1 - F.col("same")) / 2 * (F.try_divide(F.lit(1), n_a) + F.try_divide(F.lit(1), n_b))
+    )
+    z = F.when(F.col("n_values") == 2, F.try_divide(F.col("apart") / 2, error))
     tested = out.select(
         "feature",
         "n_ref",

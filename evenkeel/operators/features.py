@@ -74,16 +74,20 @@ def look_up(
 ) -> DataFrame:
     """Left join of every looked-up feature; a missing key leaves it null.
 
-    ``skewed=False`` skips the search for hot keys: right where the base table
-    is known to hold each key once, as with bucketed tables.
+    Lookups by the same key share one shuffle of the base rows. ``skewed=False``
+    skips the search for hot keys: right where the base table is known to hold
+    each key once, as with bucketed tables.
     """
+    by_key: dict[tuple[str, ...], list[DataFrame]] = {}
     for lookup in lookups:
         features = _lookup_frame(base.sparkSession, lookup)
-        keys = list(lookup.lookup_key)
+        by_key.setdefault(tuple(lookup.lookup_key), []).append(features)
+    for keys, frames in by_key.items():
         if skewed and len(keys) == 1:
-            base = balanced_join(base, features, keys[0], "left")
+            base = balanced_join(base, frames, keys[0], "left")
         else:
-            base = base.join(features, keys, "left")
+            for features in frames:
+                base = base.join(features, list(keys), "left")
     return base
 
 

@@ -35,37 +35,42 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def balanced_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "inner", salts: int = SALTS
+    left: DataFrame,
+    rights: DataFrame | Sequence[DataFrame],
+    key: str,
+    how: str = "inner",
+    salts: int = SALTS,
 ) -> DataFrame:
-    """``left`` joined to ``right`` on ``key``, with hot keys of ``left`` salted.
+    """``left`` joined to one or more frames on ``key``, with its hot keys salted.
 
     A hot row gets its task number modulo ``salts`` as a second join key and the
-    matching rows of ``right`` are repeated once per salt. The task number, unlike
-    a random one, is the same when a lost task runs again, and unlike a hash it
-    also spreads identical rows. Rows without a key are spread as well; the
-    others keep salt 0.
+    matching rows of the other side are repeated once per salt. The task number,
+    unlike a random one, is the same when a lost task runs again, and unlike a
+    hash it also spreads identical rows. Rows without a key are spread as well;
+    the others keep salt 0. ``left`` is shuffled once however many frames follow.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
+    rights = [rights] if isinstance(rights, DataFrame) else list(rights)
     hot = F.broadcast(hot_keys(left, key).withColumn("_hot", F.lit(True)))
-    salted = (
+    spread_out = F.col("_hot") | F.col(f"`{key}`").isNull()
+    joined = (
         left.join(hot, key, "left")
         .withColumn(
             _SALT,
-            F.when(
-                F.col("_hot") | F.col(f"`{key}`").isNull(),
-                F.pmod(F.spark_partition_id(), F.lit(salts)),
-            ).otherwise(0),
+            F.when(spread_out, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0),
         )
         .drop("_hot")
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
-    spread = (
-        right.join(hot, key, "left").withColumn(_SALT, F.explode(copies)).drop("_hot")
-    )
-    return salted.join(spread, [key, _SALT], how).drop(_SALT)
+    for right in rights:
+        repeated = (
+            right.join(hot, key, "left").withColumn(_SALT, F.explode(copies)).drop("_hot")
+        )
+        joined = joined.join(repeated, [key, _SALT], how)
+    return joined.drop(_SALT)
 
 
 def attach_label(

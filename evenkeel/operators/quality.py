@@ -78,7 +78,7 @@ def numeric_profile(
     tagged: DataFrame, features: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
     """Profile of numeric columns; quartiles are exact and interpolated."""
-    ranked = dist.cumulative(dist.value_counts(tagged, features, "double"), buckets)
+    ranked = dist.cumulative(tagged, features, buckets)
     sides = [c for s in dist.SIDES for c in _numeric_side(s)]
     wide = ranked.groupBy("feature").agg(*sides)
     return wide.select(
