@@ -27,6 +27,15 @@ def num_paym_met(df: DataFrame) -> DataFrame:
     return df.select(KEY, total.alias("NUM_PAYM_MET"))
 
 
+def payment_features(df: DataFrame) -> DataFrame:
+    """Both payment features in one projection."""
+    return df.select(
+        KEY,
+        row_sum([payment_unmet(F.col(c)) for c in PAY_COLUMNS]).alias("NUM_PAYM_UNMET"),
+        row_sum([payment_met(F.col(c)) for c in PAY_COLUMNS]).alias("NUM_PAYM_MET"),
+    )
+
+
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that are null or occur more than once, with their row count."""
     keys = list(keys)

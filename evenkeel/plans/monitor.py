@@ -52,13 +52,16 @@ class Monitor:
         return [self.date_column, LOAD]
 
     def _scored(self, df: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """Scored rows with their label.
+        """Cleaned and scored rows with their label.
 
-        The label of a row passes through the scorer. Only labels that arrive as
+        Every batch is cleaned like the training data; raw classes in new data
+        alone would look like drift. The label of a row passes through the scorer. Only labels that arrive as
         a frame of their own are joined by key.
         """
         if self.scorer is None:
             raise ValueError("this monitor has no scorer")
+        if "MARRIAGE" in df.columns:
+            df = prepare.clean(df)
         if labels is None:
             return self.scorer(df)
         unlabelled = df.drop(self.label) if self.label in df.columns else df
@@ -102,7 +105,7 @@ class Monitor:
         to its types; new ones are allowed. Rows are counted while they are
         written.
         """
-        rows = self._cast_known(prepare.clean(self._scored(df, labels)))
+        rows = self._cast_known(self._scored(df, labels))
         stamped = self._stamped(rows, as_of, load_id or f"load-{uuid.uuid4().hex[:12]}")
         seen = Observation("added")
         observed = stamped.observe(seen, F.count(F.lit(1)).alias("n"))

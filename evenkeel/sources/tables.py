@@ -132,13 +132,14 @@ def read_snapshot(spark: SparkSession, path: str, snapshot_id: int | None = None
     return table.where(F.col(SNAPSHOT) == wanted)
 
 
-def recreate_database(spark: SparkSession, name: str) -> None:
+def recreate_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
-    create_database(spark, name)
+    create_database(spark, name, location)
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
