@@ -104,22 +104,32 @@ def _search(df: DataFrame, bounds: str, value: str, size: int) -> DataFrame:
     df = df.withColumn("bucket", F.lit(0))
     step = size // 2
     while step:
-        at = F.col("bucket") + step
-        df = df.withColumn(
-            "bucket",
-            F.when(F.get(F.col(bounds), at - 1) < F.col(value), at).otherwise(F.col("bucket")),
+        halved = (
+            f"CASE WHEN get({bounds}, bucket + {step - 1}) < {value} "
+            f"THEN bucket + {step} ELSE bucket END"
         )
+        df = df.withColumn("bucket", F.expr(halved))
         step //= 2
     return df
 
 
 def quantile_bounds(tagged: DataFrame, features: Sequence[str], buckets: int) -> DataFrame:
-    """Approximate quantiles of each feature: one row per feature."""
-    shares = [i / buckets for i in range(1, buckets)]
-    return (
+    """Approximate quantiles of each feature, from a mergeable sketch: one row
+    per feature, null bounds where it has no value."""
+    accuracy = min(16 * buckets, 65535)
+    shares = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    sketched = (
         _long(tagged, features, "double")
         .groupBy("feature")
-        .agg(F.percentile_approx("value", shares, 4 * buckets).alias("bounds"))
+        .agg(
+            F.expr(f"kll_sketch_agg_double(value, {accuracy})").alias("sketch"),
+            F.count("value").alias("n"),
+        )
+    )
+    return sketched.selectExpr(
+        "feature",
+        "CASE WHEN n > 0 THEN "
+        f"kll_sketch_get_quantile_double(sketch, array({shares})) END AS bounds",
     )
 
 
@@ -132,8 +142,9 @@ def cumulative(
     Instead each feature is cut at approximate quantiles into buckets; running
     totals are taken within a bucket, and the totals of the buckets before it
     (at most ``buckets`` rows per feature, broadcast) are added. The result is
-    exact however rough the quantiles are. A value that fills whole buckets by
-    itself is one row by then.
+    exact however rough the quantiles are. A bucket holds about one part in
+    ``buckets`` of the rows, and a value that is more frequent than that is a
+    single row by then.
 
     Per distinct value: ``n_*`` rows, ``cum_*`` rows up to and including it, and
     the ``next_value``; missing values are one row with a null value and

@@ -8,8 +8,6 @@ sorted lists of group rates side by side. No pair of thresholds is enumerated.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -65,12 +63,14 @@ def threshold_curves(
         .withColumn("is_privileged", F.explode(F.array(F.lit(True), F.lit(False))))
     )
     side = ["protected_var", "is_privileged"]
+    # At most 2 * (bins + 1) rows per protected variable from here on. One shuffle
+    # by variable serves every later grouping and window.
     dense = (
         observed.unionByName(grid)
         .groupBy(*side, "th")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .repartition("protected_var")
     )
-    # At most bins + 1 rows per side from here on.
     at_or_above = W.partitionBy(*side).orderBy(F.desc("th"))
     whole = W.partitionBy(*side)
     return dense.select(
@@ -102,100 +102,62 @@ def _scored(curves: DataFrame, metric: str) -> DataFrame:
     and N the positives and negatives of both sides together.
     """
     both = W.partitionBy("protected_var", "th")
-    exact = curves.withColumns(
-        {"all_p": F.sum("p").over(both), "all_n": F.sum("n").over(both)}
-    )
-    gain = F.col("tp").cast(_EXACT) * F.col("all_n").cast(_EXACT) + (
-        F.col("n") - F.col("fp")
-    ).cast(_EXACT) * F.col("all_p").cast(_EXACT)
-    return exact.select(
-        "protected_var",
-        "is_privileged",
-        "th",
-        "tp",
+    exact = curves.select(
+        "*",
         (F.col("n") - F.col("fp")).alias("tn"),
-        "all_p",
-        "all_n",
-        gain.alias("gain"),
+        F.sum("p").over(both).alias("all_p"),
+        F.sum("n").over(both).alias("all_n"),
         _level(metric).alias("level"),
     )
+    gain = F.col("tp").cast(_EXACT) * F.col("all_n").cast(_EXACT) + F.col("tn").cast(
+        _EXACT
+    ) * F.col("all_p").cast(_EXACT)
+    return exact.withColumn("gain", gain)
 
 
-def _best(df: DataFrame, by: Sequence[str], *order: Column) -> DataFrame:
-    ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*by).orderBy(*order)))
-    return ranked.where(F.col("_rank") == 1).drop("_rank")
-
-
-def _sides(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    def named(flag: bool, suffix: str) -> DataFrame:
-        rows = scored.where(F.col("is_privileged") == flag)
-        shared = ["protected_var", "all_p", "all_n"] if flag else ["protected_var"]
-        return rows.select(
-            *shared, *[F.col(c).alias(f"{c}_{suffix}") for c in ("th", "tp", "tn", "gain", "level")]
-        )
-
-    return named(True, "1"), named(False, "2")
-
-
-def _report(pairs: DataFrame, name: str) -> DataFrame:
-    accuracy = (
-        F.try_divide(F.col("tp_1") + F.col("tp_2"), F.col("all_p"))
-        + F.try_divide(F.col("tn_1") + F.col("tn_2"), F.col("all_n"))
-    ) / 2
-    return pairs.select(
-        "protected_var",
-        F.lit(name).alias("metrics"),
-        F.col("th_1").alias("thresh_1"),
-        F.col("th_2").alias("thresh_2"),
-        accuracy.alias("balanced_accuracy"),
-    )
-
-
-def _neutral_pairs(first: DataFrame, second: DataFrame) -> DataFrame:
-    """For every rate of one side the nearest rate of the other, above and below.
+def _with_neighbors(scored: DataFrame) -> DataFrame:
+    """For every rate of the privileged side the nearest rates of the other side.
 
     Among thresholds of one side with the same rate only the one with the
-    highest gain, then the lowest threshold, can be in the answer.
+    highest gain, then the lowest threshold, can be in the answer. Walking all
+    rates in order, the last one of the other side seen before and the first one
+    seen after a rate are its nearest.
     """
-    keep = ("th", "tp", "tn", "gain")
-
-    def packed(side: DataFrame, suffix: str, flag: bool) -> DataFrame:
-        best = _best(
-            side.where(F.col(f"level_{suffix}").isNotNull()),
-            ["protected_var", f"level_{suffix}"],
-            F.desc(f"gain_{suffix}"),
-            F.asc(f"th_{suffix}"),
-        )
-        return best.select(
-            "protected_var",
-            F.lit(flag).alias("is_first"),
-            F.col(f"level_{suffix}").alias("level"),
-            F.struct(
-                *[F.col(f"{c}_{suffix}").alias(c) for c in keep],
-                F.col(f"level_{suffix}").alias("level"),
-            ).alias("point"),
-        )
-
-    merged = packed(first, "1", True).unionByName(packed(second, "2", False))
-    walk = W.partitionBy("protected_var").orderBy("level", "is_first")
-    other = F.when(~F.col("is_first"), F.col("point"))
-    before = F.last(other, ignorenulls=True).over(
-        walk.rowsBetween(W.unboundedPreceding, W.currentRow)
+    same_rate = W.partitionBy("protected_var", "is_privileged", "level").orderBy(
+        F.desc("gain"), F.asc("th")
     )
-    after = F.first(other, ignorenulls=True).over(
-        walk.rowsBetween(W.currentRow, W.unboundedFollowing)
+    ranked = scored.withColumn(
+        "in_play", F.col("level").isNotNull() & (F.row_number().over(same_rate) == 1)
     )
-    near = (
-        merged.select("protected_var", "is_first", "point", F.array(before, after).alias("near"))
-        .where("is_first")
-        .select("protected_var", F.col("point").alias("a"), F.explode("near").alias("b"))
-        .where(F.col("b").isNotNull())
+    walk = W.partitionBy("protected_var").orderBy("level", "is_privileged", "th")
+    other = F.when(
+        ~F.col("is_privileged") & F.col("in_play"), F.struct("level", "gain", "th", "tp", "tn")
     )
-    return near.select(
-        "protected_var",
-        *[F.col(f"a.{c}").alias(f"{c}_1") for c in keep],
-        *[F.col(f"b.{c}").alias(f"{c}_2") for c in keep],
-        F.abs(F.col("a.level") - F.col("b.level")).alias("gap"),
+    return ranked.select(
+        "*",
+        F.last(other, ignorenulls=True)
+        .over(walk.rowsBetween(W.unboundedPreceding, W.currentRow))
+        .alias("before"),
+        F.first(other, ignorenulls=True)
+        .over(walk.rowsBetween(W.currentRow, W.unboundedFollowing))
+        .alias("after"),
+    )
+
+
+def _pair(neighbor: str) -> Column:
+    """A privileged row with one neighbor, ordered by how good the pair is."""
+    b = F.col(neighbor)
+    usable = F.col("is_privileged") & F.col("in_play") & b.isNotNull()
+    return F.when(
+        usable,
+        F.struct(
+            F.abs(F.col("level") - b["level"]).alias("gap"),
+            (-(F.col("gain") + b["gain"])).alias("rank"),
+            F.col("th").alias("th_1"),
+            b["th"].alias("th_2"),
+            (F.col("tp") + b["tp"]).alias("tp"),
+            (F.col("tn") + b["tn"]).alias("tn"),
+        ),
     )
 
 
@@ -211,30 +173,45 @@ def tradeoff(
 
     * ``max_perf_point``: highest balanced accuracy,
     * ``max_perf_single_th``: the same with one threshold for both sides,
-    * ``max_perf_neutral_fair``: smallest fairness gap, then highest accuracy.
+    * ``max_perf_neutral_fair``: smallest fairness gap, then highest accuracy;
+      without thresholds where the gap is undefined.
 
     Ties go to the lowest first, then second threshold. ``thresh_1`` is the
     privileged side's.
     """
-    scored = _scored(threshold_curves(df, protected, label, score, bins), metric)
-    first, second = _sides(scored)
-    var = ["protected_var"]
-    point = _best(first, var, F.desc("gain_1"), F.asc("th_1")).join(
-        _best(second, var, F.desc("gain_2"), F.asc("th_2")), var
-    )
-    both = F.col("gain_1") + F.col("gain_2")
-    single = _best(
-        first.join(second.withColumn("th_1", F.col("th_2")), [*var, "th_1"]),
-        var,
-        F.desc(both),
-        F.asc("th_1"),
+    near = _with_neighbors(_scored(threshold_curves(df, protected, label, score, bins), metric))
+    at_th = W.partitionBy("protected_var", "th")
+    points = near.withColumns({f"{c}_at": F.sum(c).over(at_th) for c in ("gain", "tp", "tn")})
+
+    def best(flag: Column) -> Column:
+        rank = (-F.col("gain")).alias("rank")
+        return F.min(F.when(flag, F.struct(rank, "th", "tp", "tn")))
+
+    favored = F.col("is_privileged")
+    found = points.groupBy("protected_var").agg(
+        best(favored).alias("a"),
+        best(~favored).alias("b"),
+        F.min(
+            F.struct((-F.col("gain_at")).alias("rank"), "th", "tp_at", "tn_at")
+        ).alias("single"),
+        F.min(F.least(_pair("before"), _pair("after"))).alias("neutral"),
+        F.max("all_p").alias("all_p"),
+        F.max("all_n").alias("all_n"),
     )
-    totals = first.select("protected_var", "all_p", "all_n").distinct()
-    neutral = _best(
-        _neutral_pairs(first, second), var, F.asc("gap"), F.desc(both), F.asc("th_1"), F.asc("th_2")
-    ).join(totals, var)
-    return (
-        _report(point, "max_perf_point")
-        .unionByName(_report(single, "max_perf_single_th"))
-        .unionByName(_report(neutral, "max_perf_neutral_fair"))
+
+    def row(name: str, th_1: Column, th_2: Column, tp: Column, tn: Column) -> Column:
+        accuracy = (F.try_divide(tp, F.col("all_p")) + F.try_divide(tn, F.col("all_n"))) / 2
+        return F.struct(
+            F.lit(name).alias("metrics"),
+            th_1.alias("thresh_1"),
+            th_2.alias("thresh_2"),
+            accuracy.alias("balanced_accuracy"),
+        )
+
+    a, b, single, neutral = (F.col(c) for c in ("a", "b", "single", "neutral"))
+    rows = F.array(
+        row("max_perf_point", a["th"], b["th"], a["tp"] + b["tp"], a["tn"] + b["tn"]),
+        row("max_perf_single_th", single["th"], single["th"], single["tp_at"], single["tn_at"]),
+        row("max_perf_neutral_fair", neutral["th_1"], neutral["th_2"], neutral["tp"], neutral["tn"]),
     )
+    return found.select("protected_var", F.inline(rows))

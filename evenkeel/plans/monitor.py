@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel import schemas
@@ -102,15 +102,14 @@ class Monitor:
 
         A batch with an explicit ``load_id`` may be repeated after a failure: it
         replaces its own partition only. Columns known from the table are cast
-        to its types; new ones are allowed. Rows are counted while they are
-        written.
+        to its types; new ones are allowed. The count comes from the written
+        partition's file footers, not from a second run of the scorer.
         """
+        load_id = load_id or f"load-{uuid.uuid4().hex[:12]}"
         rows = self._cast_known(self._scored(df, labels))
-        stamped = self._stamped(rows, as_of, load_id or f"load-{uuid.uuid4().hex[:12]}")
-        seen = Observation("added")
-        observed = stamped.observe(seen, F.count(F.lit(1)).alias("n"))
-        tables.replace_partitions(observed, self.path, self._partitions)
-        return seen.get["n"]
+        stamped = self._stamped(rows, as_of, load_id)
+        tables.replace_partitions(stamped, self.path, self._partitions)
+        return self.read().where(F.col(LOAD) == load_id).count()
 
     def _cast_known(self, df: DataFrame) -> DataFrame:
         if self.schema is None:

@@ -6,12 +6,11 @@ payment history.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evenkeel.config import PAY_COLUMNS
-from evenkeel.functions.expressions import payment_unmet, row_sum
+from evenkeel.config import BILL_AMOUNT_COLUMNS, PAY_AMOUNT_COLUMNS, PAY_COLUMNS
 
 HISTORY_MONTHS = 6
 SCORE_THRESHOLD = 40
@@ -31,64 +30,55 @@ def payment_history(orders: DataFrame) -> DataFrame:
     """
     newest = W.partitionBy("o_custkey").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey"))
     ranked = orders.withColumn("month", F.row_number().over(newest)).where(
-        F.col("month") <= HISTORY_MONTHS
+        f"month <= {HISTORY_MONTHS}"
     )
-    status, price = F.col("o_orderstatus"), F.col("o_totalprice")
-    months = ranked.select(
+    months = ranked.selectExpr(
         "o_custkey",
         "month",
-        F.when(status == "F", -1)
-        .when(status == "P", 0)
-        .otherwise((1 + F.col("o_orderkey") % 9).cast("int"))
-        .alias("pay"),
-        price.alias("bill"),
-        F.when(status == "F", price).when(status == "P", price / 2).otherwise(0.0).alias("paid"),
-    )
-
-    def of_month(k: int, measure: str) -> Column:
-        return F.max(F.when(F.col("month") == k, F.col(measure)))
-
-    return months.groupBy("o_custkey").agg(
-        *[
-            of_month(k, measure).alias(f"{prefix}{k}")
-            for prefix, measure in (("PAY_", "pay"), ("BILL_AMT", "bill"), ("PAY_AMT", "paid"))
-            for k in range(1, HISTORY_MONTHS + 1)
-        ]
+        "CASE o_orderstatus WHEN 'F' THEN -1 WHEN 'P' THEN 0 "
+        "ELSE CAST(1 + o_orderkey % 9 AS INT) END AS pay",
+        "o_totalprice AS bill",
+        "CASE o_orderstatus WHEN 'F' THEN o_totalprice WHEN 'P' THEN o_totalprice / 2 "
+        "ELSE 0D END AS paid",
     )
+    pivoted = [
+        F.expr(f"max(CASE WHEN month = {k} THEN {measure} END) AS {prefix}{k}")
+        for prefix, measure in (("PAY_", "pay"), ("BILL_AMT", "bill"), ("PAY_AMT", "paid"))
+        for k in range(1, HISTORY_MONTHS + 1)
+    ]
+    return months.groupBy("o_custkey").agg(*pivoted)
 
 
 def credit_view(spark: SparkSession, folder: str) -> DataFrame:
     """Credit records with label, integer score, prediction and monitoring date."""
     history = payment_history(table(spark, folder, "orders"))
-    key = F.col("c_custkey")
-    joined = table(spark, folder, "customer").join(
-        history, key == F.col("o_custkey"), "left"
+    customers = table(spark, folder, "customer")
+    joined = customers.join(history, customers["c_custkey"] == history["o_custkey"], "left")
+    unmet = " + ".join(f"CASE WHEN {c} > 0 THEN 1 ELSE 0 END" for c in PAY_COLUMNS)
+    records = joined.selectExpr(
+        "c_custkey AS USER_ID",
+        "c_acctbal AS LIMIT_BAL",
+        "CAST(1 + c_custkey % 2 AS INT) AS SEX",
+        "CAST(1 + c_custkey % 6 AS INT) AS EDUCATION",
+        "CAST(c_nationkey % 4 AS INT) AS MARRIAGE",
+        "CAST(21 + c_custkey % 50 AS INT) AS AGE",
+        *PAY_COLUMNS,
+        *BILL_AMOUNT_COLUMNS,
+        *PAY_AMOUNT_COLUMNS,
+        f"{unmet} AS unmet",
+        "c_mktsegment AS segment",
     )
-    unmet = row_sum([payment_unmet(F.col(c)) for c in PAY_COLUMNS])
-    measures = [c for c in history.columns if c != "o_custkey"]
-    records = joined.select(
-        key.alias("USER_ID"),
-        F.col("c_acctbal").alias("LIMIT_BAL"),
-        (1 + key % 2).cast("int").alias("SEX"),
-        (1 + key % 6).cast("int").alias("EDUCATION"),
-        (F.col("c_nationkey") % 4).cast("int").alias("MARRIAGE"),
-        (21 + key % 50).cast("int").alias("AGE"),
-        *measures,
-        unmet.alias("unmet"),
-        "c_mktsegment",
+    scored = records.selectExpr(
+        "*", "least(100, 15 * unmet + CAST(USER_ID % 7 AS INT)) AS score"
     )
-    user, late = F.col("USER_ID"), F.col("unmet")
-    defaulted = ((late >= 3) & (user % 10 < 8)) | (user % 10 == 9)
-    score = F.least(F.lit(100), 15 * late + (user % 7).cast("int"))
-    return records.select(
-        *[c for c in records.columns if c not in ("unmet", "c_mktsegment")],
-        F.when(defaulted, 1).otherwise(0).alias("default"),
-        score.alias("score"),
-        F.when(score >= SCORE_THRESHOLD, 1).otherwise(0).alias("prediction"),
-        F.date_add(F.to_date(F.lit(FIRST_DATE)), (user % 365).cast("int")).alias(
-            "monitoring_date"
-        ),
-        F.col("c_mktsegment").alias("segment"),
+    return scored.selectExpr(
+        *[c for c in records.columns if c not in ("unmet", "segment")],
+        "CASE WHEN (unmet >= 3 AND USER_ID % 10 < 8) OR USER_ID % 10 = 9 "
+        "THEN 1 ELSE 0 END AS default",
+        "score",
+        f"CASE WHEN score >= {SCORE_THRESHOLD} THEN 1 ELSE 0 END AS prediction",
+        f"date_add(DATE '{FIRST_DATE}', CAST(USER_ID % 365 AS INT)) AS monitoring_date",
+        "segment",
     )
 
 
