@@ -64,18 +64,9 @@ def absent(n: str) -> Column:
     return F.when(F.col("value").isNull(), F.col(n)).otherwise(F.lit(0).cast("long"))
 
 
-def nonempty(total: Column, side: str) -> Column:
-    """``total``, or an error if the whole slice holds no row."""
-    return F.when(
-        total == 0, F.raise_error(F.lit(f"the {side} slice is empty, check its date window"))
-    ).otherwise(total)
-
-
 def totals(counts: DataFrame) -> DataFrame:
-    """One row per feature: rows, rows with a value, and number of values."""
-    rows = {s: F.sum(f"n_{s}") for s in SIDES}
+    """One row per feature: rows with a value, and number of values."""
     return counts.groupBy("feature").agg(
-        *[nonempty(rows[s], s).alias(f"rows_{s}") for s in SIDES],
         *[F.sum(present(f"n_{s}")).alias(f"total_{s}") for s in SIDES],
         F.count("value").alias("n_values"),
     )
@@ -192,10 +183,10 @@ def _bucket_starts(placed: DataFrame) -> DataFrame:
     before = order.rowsBetween(W.unboundedPreceding, -1)
     columns = []
     for s in SIDES:
-        rows, total = F.sum(f"b_rows_{s}").over(whole), F.sum(f"b_total_{s}").over(whole)
+        total = F.sum(f"b_total_{s}").over(whole)
         columns += [
             F.coalesce(F.sum(f"b_total_{s}").over(before), F.lit(0)).alias(f"start_{s}"),
-            nonempty(rows, s).alias(f"rows_{s}"),
+            F.sum(f"b_rows_{s}").over(whole).alias(f"rows_{s}"),
             total.alias(f"total_{s}"),
             F.try_divide(F.sum(f"b_sum_{s}").over(whole), total).alias(f"mean_{s}"),
         ]

@@ -97,7 +97,7 @@ def category_profile(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
         n = F.col(f"n_{s}")
         there = (n > 0) & value.isNotNull()
         return [
-            dist.nonempty(F.sum(n), s).alias(f"rows_{s}"),
+            F.sum(n).alias(f"rows_{s}"),
             F.sum(dist.present(f"n_{s}")).alias(f"total_{s}"),
             F.count_if(there).alias(f"distinct_{s}"),
             F.min(F.when(there, F.struct((-n).alias("rank"), value.alias("value")))).alias(

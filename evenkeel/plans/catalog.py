@@ -631,7 +631,7 @@ def monitored_drift(spark: SparkSession, sf: str) -> DataFrame:
     baseline, batch = _batches(spark, sf)
     monitor.register_baseline(prepare.clean(baseline), as_of="2022-03-01")
     monitor.add_new_data(batch, as_of=AS_OF, load_id="second")
-    tagged = monitor.tagged(REFERENCE_WINDOW, PRODUCTION_WINDOW)
+    tagged = monitor.tagged(REFERENCE_WINDOW, PRODUCTION_WINDOW, allow_empty=True)
     path = monitor.save_dataset_drift(tagged, CREDIT_ROLES, AS_OF)
     return rounded(tables.read(spark, path), ["drift_score"])
 

@@ -128,25 +128,47 @@ class Monitor:
     def read(self) -> DataFrame:
         return tables.read(self.spark, self.path, merge_schema=True)
 
+    def _check(self, df: DataFrame, windows: tuple[Window, ...]) -> None:
+        for window in windows:
+            if prepare.within(df, window, self.date_column).isEmpty():
+                raise ValueError(f"no rows strictly between {window.start} and {window.end}")
+
     def tagged(
-        self, reference: Window, production: Window, sample_fraction: float = 1.0
+        self,
+        reference: Window,
+        production: Window,
+        sample_fraction: float = 1.0,
+        allow_empty: bool = False,
     ) -> DataFrame:
-        """Rows of both windows with flags; only their partitions are read."""
-        rows = prepare.tag_windows(self.read(), reference, production, self.date_column)
-        return prepare.sample_rows(rows, sample_fraction, self.key)
+        """Rows of both windows with flags; only their partitions are read.
+
+        An empty slice is an error unless ``allow_empty``; drift scores are null
+        then.
+        """
+        rows = self.read()
+        if not allow_empty:
+            self._check(rows, (reference, production))
+        both = prepare.tag_windows(rows, reference, production, self.date_column)
+        return prepare.sample_rows(both, sample_fraction, self.key)
 
     def slices(
-        self, reference: Window, production: Window, sample_fraction: float = 1.0
+        self,
+        reference: Window,
+        production: Window,
+        sample_fraction: float = 1.0,
+        allow_empty: bool = False,
     ) -> tuple[DataFrame, DataFrame]:
-        """The reference and the production rows; an empty slice is an error."""
-        found = []
-        for window in (reference, production):
-            rows = prepare.within(self.read(), window, self.date_column)
-            rows = prepare.sample_rows(rows, sample_fraction, self.key)
-            if rows.isEmpty():
-                raise ValueError(f"no rows strictly between {window.start} and {window.end}")
-            found.append(rows)
-        return found[0], found[1]
+        """The reference and the production rows as two frames."""
+        rows = self.read()
+        if not allow_empty:
+            self._check(rows, (reference, production))
+        first, second = (
+            prepare.sample_rows(
+                prepare.within(rows, window, self.date_column), sample_fraction, self.key
+            )
+            for window in (reference, production)
+        )
+        return first, second
 
     def _output(self, name: str) -> str:
         return f"{self.root}/{self.project}_monitoring/{self.model}_{name}"

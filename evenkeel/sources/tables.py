@@ -159,5 +159,5 @@ def as_json(df: DataFrame, name: str = "json", keep: Sequence[str] = ()) -> Data
 
 def read_json_document(spark: SparkSession, path: str, schema: T.DataType) -> DataFrame:
     """JSON documents that span lines, one row per file."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.from_json("value", schema).alias("document"))
