@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from evenkeel.operators.joins import LANES, task_number
+
 SIDES = ("ref", "prod")
 MIN_BUCKETS = 256
 MAX_BUCKETS = 8192
@@ -109,14 +111,20 @@ def quantile_bounds(tagged: DataFrame, features: Sequence[str], buckets: int) ->
     per feature, null bounds where it has no value."""
     accuracy = min(16 * buckets, 65535)
     shares = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    sketched = (
+    # The sketches of the tasks are merged in lanes first: a feature is one group,
+    # and one task could not take in a sketch from every task of a large scan.
+    lanes = (
         _long(tagged, features, "double")
-        .groupBy("feature")
+        .select("feature", "value", task_number(LANES).alias("lane"))
+        .groupBy("feature", "lane")
         .agg(
             F.expr(f"kll_sketch_agg_double(value, {accuracy})").alias("sketch"),
             F.count("value").alias("n"),
         )
     )
+    sketched = lanes.groupBy("feature").agg(
+        F.expr(f"kll_merge_agg_double(sketch, {accuracy})").alias("sketch"), F.sum("n").alias("n")
+    )
     return sketched.selectExpr(
         "feature",
         "CASE WHEN n > 0 THEN "

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.config import KEY, LABEL, PAY_COLUMNS, FeatureLookup
 from evenkeel.functions.expressions import payment_met, payment_unmet, row_sum, select_matching
-from evenkeel.operators.joins import balanced_join
+from evenkeel.operators.joins import look_up_by_key
 
 AMOUNT_FRAGMENTS = ("BILL_AMT", "PAY_AMT")
 BASE_COLUMNS = (KEY, "LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE", LABEL)
@@ -93,7 +93,7 @@ def look_up(
         by_key.setdefault(tuple(lookup.lookup_key), []).append(features)
     for keys, frames in by_key.items():
         if skewed and len(keys) == 1:
-            base = balanced_join(base, frames, keys[0], "left")
+            base = look_up_by_key(base, frames, keys[0])
         else:
             for features in frames:
                 base = base.join(features, list(keys), "left")

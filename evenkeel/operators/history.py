@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from evenkeel import schemas
 from evenkeel.config import FAIRNESS_METRICS
 from evenkeel.functions.expressions import keep_map_keys
-from evenkeel.operators.joins import balanced_join
+from evenkeel.operators.joins import look_up_by_key
 from evenkeel.sources.tables import append, parse_json
 
 
@@ -24,7 +24,9 @@ def metric_documents(fairness: DataFrame, run: str = "model_run_id") -> DataFram
 
     The groups are small by nature: as many entries as variables and metrics.
     """
-    per_variable = fairness.groupBy(run, "protected_var").agg(
+    # A run saved twice has each value twice; the document holds it once.
+    once = fairness.groupBy(run, "protected_var", "metric").agg(F.max("parity").alias("parity"))
+    per_variable = once.groupBy(run, "protected_var").agg(
         F.array_sort(F.collect_list(F.struct("metric", F.array("parity")))).alias("metrics")
     )
     per_run = per_variable.groupBy(run).agg(
@@ -94,5 +96,13 @@ def deployment_rows(events: DataFrame, gate: DataFrame, run_ts: Column | None =
     """
     when = F.current_timestamp() if run_ts is None else run_ts
     checks = gate.select(F.col("model_run_id").alias("run_id"), "protected_var", "parity_check")
-    joined = balanced_join(events, checks, "run_id", "left").withColumn("run_ts", when)
+    # One row per run, so that an event meets its run once, and one row per
+    # protected variable again afterwards.
+    per_run = checks.groupBy("run_id").agg(
+        F.collect_set(F.struct("protected_var", "parity_check")).alias("checks")
+    )
+    joined = look_up_by_key(events, [per_run], "run_id").select(
+        *events.columns, F.inline_outer("checks")
+    )
+    joined = joined.withColumn("run_ts", when)
     return schemas.conform(joined, schemas.DEPLOYMENT_HISTORY)

@@ -4,84 +4,118 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with at least one row in HOT_SHARE is hot, so there are at most
-# HOT_SHARE hot keys whatever the size of the data.
+# A key with at least one row in HOT_SHARE is hot. The sketch may take a key of
+# slightly less for hot, never more than HOT_LIMIT keys whatever the data's size.
 HOT_SHARE = 100
+HOT_LIMIT = 128
 SALTS = 256
-_SALT = "_salt"
-_TRACKED = 10_000
+LANES = 512
+_TRACKED = 4096
+
+
+def task_number(modulo: int) -> Column:
+    """The number of the running task, modulo ``modulo``.
+
+    Unlike a random number it is the same when a lost task runs again, and
+    unlike a hash it differs between identical rows of different tasks.
+    """
+    return F.pmod(F.spark_partition_id(), F.lit(modulo))
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys holding at least 1 % of the rows: at most 100 rows, one per key.
+    """Keys holding about 1 % of the rows or more: at most 128 rows, one per key.
 
-    One pass with a frequent-items sketch over the key column. Its error is a
-    small part of 1 % of the rows, and a key flagged wrongly costs nothing but a
-    few copies: the join result does not depend on it.
+    One pass with a frequent-items sketch over the key column, whose error is
+    below 0.1 % of the rows. The sketches of the tasks are combined in lanes
+    first, so that no single task has to take in all of them. A key flagged
+    wrongly costs a few copies; the join result does not depend on it.
     """
-    column = F.col(f"`{key}`")
-    found = df.agg(
-        # One more than can be hot: a frequent null takes a place too.
-        F.call_function("approx_top_k", column, F.lit(HOT_SHARE + 1), F.lit(_TRACKED)).alias("top"),
-        F.count(column).alias("n"),
-    )
-    return (
-        found.select(F.explode("top").alias("top"), "n")
-        .where(F.col("top.item").isNotNull() & (F.col("top.count") * HOT_SHARE >= F.col("n")))
-        .select(F.col("top.item").alias(key))
+    column = f"`{key}`"
+    lanes = (
+        df.select(key, task_number(LANES).alias("lane"))
+        .groupBy("lane")
+        .agg(
+            F.expr(f"approx_top_k_accumulate({column}, {_TRACKED})").alias("sketch"),
+            F.count(key).alias("n"),
+        )
     )
+    # Grouped by a constant: without a grouping, a task that gets no lane would
+    # have to hand on a sketch of nothing, which the function cannot write.
+    found = lanes.groupBy(F.lit(1)).agg(
+        F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"), F.sum("n").alias("n")
+    ).select(F.expr(f"explode(approx_top_k_estimate(sketch, {HOT_LIMIT}))").alias("top"), "n")
+    hot = F.col("top.item").isNotNull() & (F.col("top.count") * HOT_SHARE >= F.col("n"))
+    return found.where(hot).select(F.col("top.item").alias(key))
+
+
+def _salted(df: DataFrame, key: str, flag: str, salt: str, salts: int, null_too: bool) -> DataFrame:
+    """The salt of a row: its task number where the key is hot, else 0."""
+    spread = F.col(flag).isNotNull()
+    if null_too:
+        spread = spread | F.col(f"`{key}`").isNull()
+    return df.withColumn(salt, F.when(spread, task_number(salts)).otherwise(0))
+
+
+def _repeated(df: DataFrame, flag: str, salt: str, salts: int) -> DataFrame:
+    """A row once per salt where the key is hot on the other side, else once."""
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = F.when(F.col(flag).isNotNull(), every).otherwise(F.array(F.lit(0)))
+    return df.withColumn(salt, F.explode(copies))
+
 
+def _flagged(df: DataFrame, key: str, hot: DataFrame, flag: str) -> DataFrame:
+    return df.join(F.broadcast(hot.withColumn(flag, F.lit(True))), key, "left")
 
-def balanced_join(
-    left: DataFrame,
-    rights: DataFrame | Sequence[DataFrame],
-    key: str,
-    how: str = "inner",
-    salts: int = SALTS,
+
+def look_up_by_key(
+    left: DataFrame, rights: Sequence[DataFrame], key: str, salts: int = SALTS
 ) -> DataFrame:
-    """``left`` joined to one or more frames on ``key``, with its hot keys salted.
+    """``left`` with the columns of tables that hold each key at most once.
 
-    A hot row gets its task number modulo ``salts`` as a second join key and the
-    matching rows of the other side are repeated once per salt. The task number,
-    unlike a random one, is the same when a lost task runs again, and unlike a
-    hash it also spreads identical rows. Rows without a key are spread as well;
-    the others keep salt 0. ``left`` is shuffled once however many frames follow.
+    A left join. Rows of a hot key of ``left`` get a salt as a second join key,
+    and the one matching row of each table is repeated per salt; rows without a
+    key are spread as well. ``left`` is shuffled once however many tables follow.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("how must be 'inner' or 'left'")
-    rights = [rights] if isinstance(rights, DataFrame) else list(rights)
-    hot = F.broadcast(hot_keys(left, key).withColumn("_hot", F.lit(True)))
-    spread_out = F.col("_hot") | F.col(f"`{key}`").isNull()
-    joined = (
-        left.join(hot, key, "left")
-        .withColumn(
-            _SALT,
-            F.when(spread_out, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0),
-        )
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
+    hot = hot_keys(left, key)
+    joined = _salted(_flagged(left, key, hot, "_hot"), key, "_hot", "_salt", salts, True)
+    joined = joined.drop("_hot")
     for right in rights:
-        repeated = (
-            right.join(hot, key, "left").withColumn(_SALT, F.explode(copies)).drop("_hot")
-        )
-        joined = joined.join(repeated, [key, _SALT], how)
-    return joined.drop(_SALT)
+        copies = _repeated(_flagged(right, key, hot, "_hot"), "_hot", "_salt", salts)
+        joined = joined.join(copies.drop("_hot"), [key, "_salt"], "left")
+    return joined.drop("_salt")
+
+
+def balanced_join(left: DataFrame, right: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+    """Inner join on ``key`` where either side may have hot keys.
+
+    Each side's hot rows are salted and the other side's matching rows are
+    repeated per salt, so that every pair still meets exactly once.
+    """
+    hot_left, hot_right = hot_keys(left, key), hot_keys(right, key)
+
+    def prepared(df: DataFrame, own: str, own_salt: str, other: str, other_salt: str) -> DataFrame:
+        for name, hot in (("_hot_l", hot_left), ("_hot_r", hot_right)):
+            df = _flagged(df, key, hot, name)
+        df = _salted(df, key, own, own_salt, salts, False)
+        return _repeated(df, other, other_salt, salts).drop("_hot_l", "_hot_r")
+
+    a = prepared(left, "_hot_l", "_salt_l", "_hot_r", "_salt_r")
+    b = prepared(right, "_hot_r", "_salt_r", "_hot_l", "_salt_l")
+    return a.join(b, [key, "_salt_l", "_salt_r"]).drop("_salt_l", "_salt_r")
 
 
 def attach_label(
     scored: DataFrame, labelled: DataFrame, label: str, key: str
 ) -> DataFrame:
     """Inner join of scored rows to their labels; repeated keys multiply rows."""
-    return balanced_join(scored, labelled.select(key, label), key, "inner")
+    return balanced_join(scored, labelled.select(key, label), key)
 
 
 def orphans(base: DataFrame, features: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of ``base`` that the feature table lacks, once each."""
     keys = list(keys)
-    return base.select(*keys).distinct().join(features.select(*keys), keys, "left_anti")
+    known = features.select(*keys).distinct()
+    return base.select(*keys).distinct().join(known, keys, "left_anti")

@@ -156,7 +156,7 @@ def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     tables.drop_table(spark, name)
     features.create_feature_table(
         spark, name, features.num_paym_unmet(clean_credit(spark, sf)),
-        description="Number of times customer delayed payment", buckets=8,
+        description="late payments of a client over six months", buckets=8,
     )
     return spark.table(name)
 
@@ -636,6 +636,30 @@ def monitored_drift(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(tables.read(spark, path), ["drift_score"])
 
 
+@query
+def saved_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """The quality profile of the monitored batches, stored as a table."""
+    monitor = _monitor(spark, "quality")
+    baseline, batch = _batches(spark, sf)
+    monitor.register_baseline(prepare.clean(baseline), as_of="2022-03-01")
+    monitor.add_new_data(batch, as_of=AS_OF, load_id="second")
+    tagged = monitor.tagged(REFERENCE_WINDOW, PRODUCTION_WINDOW, allow_empty=True)
+    path = monitor.save_quality(tagged, CREDIT_ROLES, AS_OF)
+    return rounded(tables.read(spark, path), QUALITY_NUMBERS)
+
+
+@query
+def saved_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Results of a run stored in the result tables, read back with its lineage."""
+    root = scratch_path(spark, "run")
+    records = clean_credit(spark, sf)
+    scored = records.withColumn("probability", F.col("score") / 100)
+    results = training.audit_scored(scored, RUN)
+    history.save_run(root, RUN, "clean/credit", **results)
+    conclusion = tables.read(spark, f"{root}/conclusion")
+    return rounded(conclusion.join(tables.read(spark, f"{root}/runs"), "run_id"), ["value"])
+
+
 @query
 def unscored_baseline(spark: SparkSession, sf: str) -> DataFrame:
     monitor = Monitor(spark, scratch_path(spark, "unscored"), PROJECT, MODEL)

@@ -715,6 +715,13 @@ def statements() -> dict[str, str]:
     )
     out["baseline_and_append"] = _monitored(load=True)
     out["streamed_append"] = _monitored(load=False)
+    inner = _quality(_CREDIT_SLICES, ("LIMIT_BAL", "AGE"), (*credit_cat, "default", "prediction"))
+    out["saved_quality"] = f"SELECT *, {_SIGNED} FROM ({inner})"
+    out["saved_run"] = _fairness(
+        "SELECT model_run_id AS run_id, protected_var, metric, round(parity, 6) AS \"value\", "
+        "0.43::DOUBLE AS threshold, CASE WHEN abs(parity) <= 0.43 THEN 'fair' ELSE 'unfair' END AS conclusion, "
+        "'clean/credit' AS source_data FROM fairness WHERE metric = 'equal_opportunity'"
+    )
     out["unscored_baseline"] = _credit(
         f"SELECT USER_ID, SEX, \"default\", DATE '2022-03-01' AS monitoring_date, {_STAMPED}, "
         "'baseline' AS load_id FROM credit"

@@ -12,6 +12,8 @@ from evenkeel.config import KEY, LABEL, PREDICTION, PROTECTED, FeatureLookup, Pr
 from evenkeel.operators import fairness as fair
 from evenkeel.operators import features, history, model, performance
 from evenkeel.operators.tradeoff import probability_bins, tradeoff
+from evenkeel.session import scratch_path
+from evenkeel.sources import tables
 
 
 @dataclass(frozen=True)
@@ -67,8 +69,15 @@ def train_and_audit(
     lookups: list[FeatureLookup] | None = None,
     protected: Protected = PROTECTED,
 ) -> Audit:
-    """Split, train on the larger part, score and audit the test part."""
-    data = model.split(training_set(records, lookups))
+    """Split, train on the larger part, score and audit the test part.
+
+    The training set is stored once below the shared folder: training, scoring
+    and every audit read it from there instead of repeating the lookups.
+    """
+    spark = records.sparkSession
+    path = scratch_path(spark, "training_set")
+    tables.overwrite(model.split(training_set(records, lookups)), path, ["split"])
+    data = tables.read(spark, path)
     inputs = [c for c in data.columns if c not in (KEY, LABEL, PREDICTION, "split")]
     fitted = model.train(data.where(F.col("split") == "train"), inputs)
     scored = model.score(fitted, data.where(F.col("split") == "test"))

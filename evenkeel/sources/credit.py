@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evenkeel.config import BILL_AMOUNT_COLUMNS, PAY_AMOUNT_COLUMNS, PAY_COLUMNS
+from evenkeel.operators.joins import balanced_join
 
 HISTORY_MONTHS = 6
 SCORE_THRESHOLD = 40
@@ -86,7 +87,7 @@ def labelled_documents(spark: SparkSession, folder: str, long_text: int = 500) -
     """Documents with a quality label and a length rule as the prediction."""
     documents = table(spark, folder, "documents").select("doc_id", "lang", "n_chars")
     labels = table(spark, folder, "labels").select("doc_id", "quality")
-    return labels.join(documents, "doc_id").select(
+    return balanced_join(labels, documents, "doc_id").select(
         "doc_id",
         "lang",
         F.col("quality").alias("default"),

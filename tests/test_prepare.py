@@ -92,14 +92,17 @@ def test_hot_keys_and_balanced_join(spark):
     right = spark.range(1500).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     twice = right.unionByName(right.where("k = 7").withColumn("v", F.lit(-1).cast("long")))
     assert [r[0] for r in joins.hot_keys(left, "k").collect()] == [7]
-    for how in ("inner", "left"):
-        mine = joins.balanced_join(left, twice, "k", how, salts=4)
-        assert rows(mine) == rows(left.join(twice, "k", how))
-        both = joins.balanced_join(left, [twice, right.withColumnRenamed("v", "w")], "k", how, salts=3)
-        plain = left.join(twice, "k", how).join(right.withColumnRenamed("v", "w"), "k", how)
-        assert rows(both) == rows(plain)
-    with pytest.raises(ValueError):
-        joins.balanced_join(left, right, "k", "full")
+    renamed = right.withColumnRenamed("v", "w")
+    looked = joins.look_up_by_key(left, [right, renamed], "k", salts=3)
+    assert rows(looked) == rows(left.join(right, "k", "left").join(renamed, "k", "left"))
+    assert rows(joins.balanced_join(left, twice, "k", salts=4)) == rows(left.join(twice, "k"))
+    assert rows(joins.balanced_join(right, left, "k", salts=4)) == rows(right.join(left, "k"))
+
+
+def test_balanced_join_with_keys_hot_on_both_sides(spark):
+    left = spark.range(90).select((F.col("id") % 3).alias("k"), F.col("id").alias("l")).repartition(4)
+    right = spark.range(60).select((F.col("id") % 4).alias("k"), F.col("id").alias("r")).repartition(3)
+    assert rows(joins.balanced_join(left, right, "k", salts=3)) == rows(left.join(right, "k"))
 
 
 def test_hot_rows_are_spread(spark):
@@ -109,7 +112,7 @@ def test_hot_rows_are_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = joins.balanced_join(left, right, "k", "left")
+        joined = joins.look_up_by_key(left, [right], "k")
         parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert sum(r["count"] for r in parts) == 4000
         assert len(parts) > 1
@@ -118,6 +121,14 @@ def test_hot_rows_are_spread(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_joins_of_empty_frames(spark):
+    left = spark.createDataFrame([], "k long, l int")
+    right = spark.createDataFrame([(1, 2)], "k long, r int")
+    assert joins.hot_keys(left, "k").collect() == []
+    assert joins.balanced_join(left, right, "k").collect() == []
+    assert rows(joins.look_up_by_key(right, [left], "k")) == [(1, 2, None)]
+
+
 def test_orphans(spark):
     base = spark.createDataFrame([(1,), (1,), (2,), (3,)], "USER_ID long")
     known = spark.createDataFrame([(2,), (4,)], "USER_ID long")
