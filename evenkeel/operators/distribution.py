@@ -155,8 +155,11 @@ def cumulative(
         raise ValueError("buckets must be a power of two")
     counts = value_counts(tagged, features, "double")
     bounds = F.broadcast(quantile_bounds(tagged, features, buckets))
-    placed = _search(counts.join(bounds, "feature"), "bounds", "value", buckets).select(
-        "feature", "bucket", "value", "n_ref", "n_prod"
+    # One explicit shuffle that both uses below share.
+    placed = (
+        _search(counts.join(bounds, "feature"), "bounds", "value", buckets)
+        .select("feature", "bucket", "value", "n_ref", "n_prod")
+        .repartition("feature", "bucket")
     )
     starts = _bucket_starts(placed)
     inside = W.partitionBy("feature", "bucket").orderBy("value")

@@ -167,6 +167,35 @@ def test_outcome_rates_count_clients_once(spark):
     assert all(key[1] is not None and key[3] is not None for key in got)
 
 
+def test_outcome_rates_against_plain_counts(spark):
+    """Clients with several differing rows, missing values and text groups."""
+    import random
+
+    rng = random.Random(8)
+
+    def maybe(*values):
+        return rng.choice([*values, None])
+
+    data = [
+        (rng.choice([None, 7, *range(80)]), maybe(1, 2), maybe(1, 2, 3), maybe(0, 1), maybe(0, 1))
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(data, "USER_ID long, SEX int, MARRIAGE int, default int, prediction int")
+    expected = {}
+    for user, sex, marriage, default, prediction in data:
+        for var, group in (("SEX", sex), ("MARRIAGE", marriage)):
+            for outcome, value in (("default", default), ("prediction", prediction)):
+                if None not in (user, group, value):
+                    expected.setdefault((var, str(group), outcome, value), set()).add(user)
+    expected = {k: len(v) for k, v in expected.items()}
+    for frame in (df, df.withColumn("MARRIAGE", F.col("MARRIAGE").cast("string"))):
+        got = {
+            (r.protected_var, r.group_value, r.outcome, r.outcome_value): r.n_users
+            for r in outcomes.outcome_rates(frame).collect()
+        }
+        assert got == expected
+
+
 def test_storage_round_trips(spark, tmp_path):
     one = spark.createDataFrame([(1, 2)], "a int, b int")
     two = spark.createDataFrame([(3, "x")], "a int, c string")
