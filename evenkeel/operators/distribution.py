@@ -26,6 +26,9 @@ MAX_BUCKETS = 8192
 def _long(tagged: DataFrame, features: Sequence[str], kind: str) -> DataFrame:
     """One row per row and feature: ``feature``, ``value``, ``in_ref``, ``in_prod``.
 
+    A feature is a number, its place in ``features``: shorter to shuffle and
+    quicker to compare than its name, which ``named`` puts back.
+
     The flags travel inside the unpivoted value. As identifier columns of the
     unpivot they would keep Spark from recognizing that two uses of this frame
     in one query are the same, and the input would be read and shuffled twice.
@@ -37,15 +40,23 @@ def _long(tagged: DataFrame, features: Sequence[str], kind: str) -> DataFrame:
 
     cells = tagged.select(
         *[
-            F.struct(value(f).alias("value"), F.col("in_ref"), F.col("in_prod")).alias(f)
-            for f in features
+            F.struct(
+                F.lit(i).alias("feature"), value(f).alias("value"), F.col("in_ref"), F.col("in_prod")
+            ).alias(f)
+            for i, f in enumerate(features)
         ]
     )
-    return cells.unpivot([], list(features), "feature", "cell").select(
-        "feature", "cell.value", "cell.in_ref", "cell.in_prod"
+    return cells.unpivot([], list(features), "name", "cell").select(
+        "cell.feature", "cell.value", "cell.in_ref", "cell.in_prod"
     )
 
 
+def named(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Feature numbers replaced by feature names."""
+    names = F.array(*[F.lit(f) for f in features])
+    return df.withColumn("feature", F.get(names, F.col("feature")))
+
+
 def value_counts(tagged: DataFrame, features: Sequence[str], kind: str) -> DataFrame:
     """Rows per (feature, value) in either slice; missing values are a null value.
 
@@ -229,17 +240,18 @@ def histogram(tagged: DataFrame, features: Sequence[str], bins: int = 10) -> Dat
         .agg(F.count_if("in_ref").alias("n_ref"), F.count_if("in_prod").alias("n_prod"))
     )
     lower = F.col("low") + (F.col("bucket") - 1) * (F.col("high") - F.col("low")) / bins
-    return by_side(
+    sides = by_side(
         counted.select("feature", "bucket", lower.alias("lower_edge"), "n_ref", "n_prod"),
         ["feature", "bucket", "lower_edge"],
     )
+    return named(sides, features)
 
 
 def category_shares(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
     """Rows and share per feature, slice and category."""
     counts = value_counts(tagged, features, "string").where(F.col("value").isNotNull())
-    named = counts.withColumnRenamed("value", "category")
-    return by_side(named, ["feature", "category"])
+    sides = by_side(counts.withColumnRenamed("value", "category"), ["feature", "category"])
+    return named(sides, features)
 
 
 def by_side(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -30,13 +30,14 @@ def numeric_statistics(
         - F.try_divide(F.col("cum_prod"), F.col("total_prod"))
     )
     off = F.col("value") - F.col("mean_ref")
-    out = ranked.groupBy("feature").agg(
+    sums = ranked.groupBy("feature").agg(
         F.any_value("total_ref").alias("n_ref"),
         F.any_value("total_prod").alias("n_prod"),
         F.max(F.when(F.col("value").isNotNull(), gap)).alias("ks"),
         F.sum(gap * (F.col("next_value") - F.col("value"))).alias("area"),
         F.sum(F.col("n_ref") * off * off).alias("squares"),
     )
+    out = dist.named(sums, features)
     spread = F.greatest(
         F.sqrt(F.try_divide(F.col("squares"), F.col("n_ref"))), F.lit(SMALLEST_SPREAD)
     )
@@ -81,7 +82,7 @@ def category_statistics(tagged: DataFrame, features: Sequence[str]) -> DataFrame
         F.sum(F.abs(p - q)).alias("apart"),
         F.sum(F.pow(F.try_divide(a + b, total_a + total_b), F.lit(2))).alias("same"),
     )
-    return _with_tests(out)
+    return _with_tests(dist.named(out, features))
 
 
 def _with_tests(out: DataFrame) -> DataFrame:

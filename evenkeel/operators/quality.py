@@ -80,7 +80,7 @@ def numeric_profile(
     """Profile of numeric columns; quartiles are exact and interpolated."""
     ranked = dist.cumulative(tagged, features, buckets)
     sides = [c for s in dist.SIDES for c in _numeric_side(s)]
-    wide = ranked.groupBy("feature").agg(*sides)
+    wide = dist.named(ranked.groupBy("feature").agg(*sides), features)
     return wide.select(
         "feature",
         F.lit("num").alias("feature_type"),
@@ -118,7 +118,8 @@ def category_profile(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
             F.try_divide(-F.col(f"top_{s}.rank"), F.col(f"total_{s}")).alias("top_share"),
         )
 
-    wide = counts.groupBy("feature").agg(*[c for s in dist.SIDES for c in side(s)])
+    sides = counts.groupBy("feature").agg(*[c for s in dist.SIDES for c in side(s)])
+    wide = dist.named(sides, features)
     return wide.select(
         "feature",
         F.lit("cat").alias("feature_type"),
