@@ -10,9 +10,11 @@ A pair is held to the smaller l of the two, so no link is lost.
 
 Frequencies come from one sketch of fixed size over all documents; they only order
 the shingles and steer l. Documents with equal sets are one node from the start.
-Then, in each posting list, all are first compared with the list's two ends, which
-joins most copies of a large group, and after that only pairs of different
-components are looked at. Every link that decides is verified on the whole sets.
+In each posting list all nodes are paired with the list's two ends only; pairs with
+enough common shingles are compared, close ones form clusters, and where a cluster is
+not connected by then each node is compared with its pivot. Inside a cluster a second prefix filter works on what differs from the pivot,
+so a large group of copies makes no quadratic number of pairs; across clusters the
+posting lists decide. Every link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.llm import bloom
@@ -33,7 +35,7 @@ from evenkeel.llm.graph import components
 from evenkeel.llm.scratch import discard, save
 from evenkeel.llm.text import batched, rows, shingle_set
 
-_SLOT_BITS = 22
+_SLOT_BITS = 21
 _BLOCK_BITS = 16
 _LANES = 64
 
@@ -100,7 +102,6 @@ def jaccard_components(docs: DataFrame, similarity: Similarity = Similarity()) -
 
 def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFrame:
     """Verified links ``(a, b)`` that join the same nodes as all links do."""
-    spark = nodes.sparkSession
     posted = nodes.select(
         "node", "size", "matches", F.posexplode("prefix").alias("place", "token")
     )
@@ -112,19 +113,12 @@ def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFr
     )
     hits = save(posted.join(shared, "token"), "hits")
 
-    held = spark.sparkContext.broadcast(
-        bloom.build(hits.select("node").distinct(), F.xxhash64("node"))
-    )
-    sets = save(
-        texts.withColumn("hashed", F.xxhash64("doc_id")).mapInArrow(
-            _sets(similarity.words, held), "doc_id long, shingles binary"
-        ),
-        "sets",
-    )
-
     ends = hits.select(
         F.explode(F.array("low", "high")).alias("end"), "node", "size", "matches"
     ).where("end.node <> node")
+    ends = ends.where(
+        F.least("end.size", "size") * similarity.den >= F.greatest("end.size", "size") * similarity.num
+    )
     first = save(
         ends.groupBy(
             F.least("end.node", "node").alias("a"), F.greatest("end.node", "node").alias("b")
@@ -132,102 +126,254 @@ def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFr
         .agg(
             F.count(F.lit(1)).alias("common"),
             F.min(F.least("end.matches", "matches")).alias("demand"),
-            F.min(F.least("end.size", "size")).alias("less"),
-            F.max(F.greatest("end.size", "size")).alias("more"),
         )
-        # Each list names two ends, so a pair may be counted twice a list.
         .where(F.col("common") >= F.col("demand"))
-        .where(F.col("less") * similarity.den >= F.col("more") * similarity.num)
         .select("a", "b"),
         "first",
     )
-    linked = save(_verified(first, sets, similarity), "linked")
-    labels = components(linked)
+    scored = save(
+        _with_sets(texts, first, similarity).mapInArrow(
+            _compared(similarity, close=0.5), "a long, b long, linked boolean"
+        ),
+        "scored",
+    )
+    near = scored.where("linked").select("a", "b")
+    clusters = components(scored).withColumnRenamed("component", "cluster")
+    grouped = save(
+        clusters.join(components(near), "node", "left").select(
+            "node", "cluster", F.coalesce("component", "node").alias("component")
+        ),
+        "grouped",
+    )
+    told = save(_deltas(texts, _pivots(scored, grouped), similarity), "told")
 
     placed = save(
         hits.drop("low", "high")
-        .join(labels, "node", "left")
-        .withColumn("component", F.coalesce("component", "node")),
+        .join(grouped.select("node", "cluster"), "node", "left")
+        .withColumn("cluster", F.coalesce("cluster", "node")),
         "placed",
     )
-    # In a list, the rows outside its largest component meet all other components.
-    largest = (
-        placed.groupBy("token", "component")
+    rest = save(
+        _within(told, grouped, similarity)
+        .union(_across(placed, similarity))
+        .join(first, ["a", "b"], "left_anti")
+        .distinct(),
+        "rest",
+    )
+    later = _with_sets(texts, rest, similarity).mapInArrow(
+        _compared(similarity), "a long, b long, linked boolean"
+    )
+    by_pivot = told.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    found = save(near.union(by_pivot).union(later.select("a", "b")).distinct(), "found")
+    for table in (hits, first, scored, grouped, told, placed, rest):
+        discard(table)
+    return found
+
+
+def _pivots(scored: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``(pivot, node)``: the node with most pairs in a cluster, and each other node of it.
+
+    Only of clusters that hold more than one pair and are not connected yet.
+    """
+    degrees = (
+        scored.select(F.explode(F.array("a", "b")).alias("node"))
+        .groupBy("node")
         .count()
-        .groupBy("token")
+        .join(grouped, "node")
+    )
+    pivots = (
+        degrees.groupBy("cluster")
         .agg(
-            F.max(F.struct("count", "component"))["component"].alias("main"),
-            F.count(F.lit(1)).alias("parts"),
+            F.max(F.struct("count", (-F.col("node")).alias("back")))["back"].alias("back"),
+            F.count(F.lit(1)).alias("nodes"),
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
         )
-        .where("parts > 1")
-        .drop("parts")
+        .where("nodes > 2 and least <> most")
+        .select("cluster", "back")
     )
-    mixed = placed.join(largest, "token")
-    x, y = mixed.where("component <> main").alias("x"), mixed.alias("y")
-    demand = F.least("x.matches", "y.matches")
-    reach = lambda side: F.col(f"{side}.place") < (
-        F.col(f"{side}.size")
-        - F.ceil(F.col(f"{side}.size") * similarity.num / similarity.den)
-        + demand
+    return (
+        degrees.select("node", "cluster")
+        .join(pivots, "cluster")
+        .select((-F.col("back")).alias("pivot"), "node")
+        .where("pivot <> node")
+    )
+
+
+def _deltas(texts: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
+    """``(pivot, node, size, linked, delta)``: the shingles in just one of node and pivot."""
+    both = _with_sets(texts, pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), similarity)
+    return both.mapInArrow(
+        _differing(similarity), "pivot long, node long, size int, linked boolean, delta array<long>"
+    )
+
+
+def _within(told: DataFrame, grouped: DataFrame, similarity: Similarity) -> DataFrame:
+    """Pairs ``(a, b)`` of one cluster that may link and are not known to be connected.
+
+    With pivot p, x and y differ in as many shingles as their deltas to p do. If x and
+    y link and are not both linked to p, the deltas are too large to differ in so few
+    shingles unless they share some: with s = |dx| + |dy| and at most d differing
+    shingles in a link, at least (s - d) / 2. So the shingles of the pivot, which all
+    copies share, no longer make pairs; only common edits do.
+    """
+    tokens = (
+        told.join(grouped.select("node", "component"), "node")
+        .select(
+            "pivot",
+            "node",
+            "size",
+            "linked",
+            "component",
+            F.size("delta").alias("differs"),
+            F.explode("delta").alias("token"),
+        )
+        .dropDuplicates(["pivot", "node", "token"])
+    )
+    shared = tokens.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("seen"))
+    ranked = tokens.join(shared, ["pivot", "token"]).withColumn(
+        "place", F.row_number().over(Window.partitionBy("node").orderBy("seen", "token")) - 1
     )
+    # The most places any partner can ask for: no more than d + 1, see above.
+    widest = F.floor(F.col("size") * (similarity.den - similarity.num) / similarity.num)
+    ranked = save(ranked.where((F.col("seen") > 1) & (F.col("place") <= widest)), "ranked")
+    x, y = ranked.where("not linked").alias("x"), ranked.alias("y")
+    most = F.floor(
+        (F.col("x.size") + F.col("y.size"))
+        * (similarity.den - similarity.num)
+        / (similarity.den + similarity.num)
+    )
+    need = F.ceil((F.col("x.differs") + F.col("y.differs") - most) / 2)
+    return (
+        x.join(
+            y,
+            (F.col("x.pivot") == F.col("y.pivot"))
+            & (F.col("x.token") == F.col("y.token"))
+            & (F.col("x.component") != F.col("y.component"))
+            & (F.col("y.linked") | (F.col("x.node") < F.col("y.node")))
+            & (F.least("x.size", "y.size") * similarity.den >= F.greatest("x.size", "y.size") * similarity.num)
+            & (F.col("x.place") <= F.col("x.differs") - need)
+            & (F.col("y.place") <= F.col("y.differs") - need),
+        )
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        .distinct()
+    )
+
+
+def _across(placed: DataFrame, similarity: Similarity) -> DataFrame:
+    """Pairs ``(a, b)`` of different clusters that share as many shingles as they must."""
+    mixed = placed.join(
+        placed.groupBy("token")
+        .agg(F.min("cluster").alias("least"), F.max("cluster").alias("most"))
+        .where("least <> most")
+        .select("token"),
+        "token",
+    )
+    # In a list, the rows outside its largest cluster meet all other clusters.
+    largest = (
+        mixed.groupBy("token", "cluster")
+        .count()
+        .groupBy("token")
+        .agg(F.max(F.struct("count", "cluster"))["cluster"].alias("main"))
+    )
+    mixed = mixed.join(largest, "token")
+    x, y = mixed.where("cluster <> main").alias("x"), mixed.alias("y")
+    demand = F.least("x.matches", "y.matches")
+
+    def reached(side: str) -> Column:
+        size = F.col(f"{side}.size")
+        return F.col(f"{side}.place") < size - F.ceil(size * similarity.num / similarity.den) + demand
+
     met = x.join(
         y,
         (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.component") != F.col("y.component"))
-        & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
+        & (F.col("x.cluster") != F.col("y.cluster"))
+        & ((F.col("y.cluster") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
         & (F.least("x.size", "y.size") * similarity.den >= F.greatest("x.size", "y.size") * similarity.num)
-        & reach("x")
-        & reach("y"),
+        & reached("x")
+        & reached("y"),
     )
-    rest = (
+    return (
         met.groupBy(
             F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
         )
         .agg(F.count(F.lit(1)).alias("common"), F.min(demand).alias("demand"))
         .where(F.col("common") >= F.col("demand"))
         .select("a", "b")
-        .join(first, ["a", "b"], "left_anti")
     )
-    found = save(linked.union(_verified(rest, sets, similarity)), "found")
-    for table in (hits, sets, first, linked, placed):
-        discard(table)
-    return found
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
-    both = (
-        pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-        .select("a", "b", "x", "y")
+def _with_sets(texts: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
+    """``(a, b, x, y)``: pairs with both sets. Only sets of documents in a pair are built."""
+    context = texts.sparkSession.sparkContext
+    held = [
+        context.broadcast(bloom.build(pairs.select(side).distinct(), F.xxhash64(side)))
+        for side in ("a", "b")
+    ]
+    sets = save(
+        texts.withColumn("hashed", F.xxhash64("doc_id")).mapInArrow(
+            _sets(similarity.words, *held),
+            "doc_id long, shingles binary, first boolean, second boolean",
+        ),
+        "sets",
+    )
+    x = sets.where("first").select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
+    y = sets.where("second").select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+
+
+def _differing(similarity: Similarity) -> Callable:
+    schema = pa.schema(
+        [
+            ("pivot", pa.int64()),
+            ("node", pa.int64()),
+            ("size", pa.int32()),
+            ("linked", pa.bool_()),
+            ("delta", pa.list_(pa.int64())),
+        ]
     )
-    return both.mapInArrow(_compared(similarity), "a long, b long").distinct()
+
+    def found(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for pivot, node, x, y in rows(batches):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            delta = np.setxor1d(x, y, assume_unique=True).view(np.int64)
+            common = (len(x) + len(y) - len(delta)) // 2
+            yield pivot, node, len(y), similarity.links(len(x), len(y), common), delta
+
+    return lambda batches: batched(found(batches), schema)
 
 
-def _compared(similarity: Similarity) -> Callable:
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _compared(similarity: Similarity, close: float = 1.0) -> Callable:
+    """Pairs with at least ``close`` times the similarity that links."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
 
-    def linked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    def found(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for a, b, x, y in rows(batches):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             small, large = (x, y) if len(x) < len(y) else (y, x)
             at = np.searchsorted(large, small)
             common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-            if similarity.links(len(x), len(y), common):
-                yield a, b
+            linked = similarity.links(len(x), len(y), common)
+            union = len(x) + len(y) - common
+            if linked or similarity.den * common >= close * similarity.num * union and close < 1:
+                yield a, b, linked
 
-    return lambda batches: batched(linked(batches), schema)
+    return lambda batches: batched(found(batches), schema)
 
 
-def _sets(words: int, held) -> Callable:
-    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+def _sets(words: int, first, second) -> Callable:
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("shingles", pa.binary()), ("first", pa.bool_()), ("second", pa.bool_())]
+    )
 
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             hashed = batch.column(2).to_numpy().view(np.uint64)
-            there = bloom.might_hold(held.value, hashed)
-            for doc_id, text, _ in rows([batch.filter(pa.array(there))]):
+            sides = [bloom.might_hold(held.value, hashed) for held in (first, second)]
+            for i in np.flatnonzero(sides[0] | sides[1]):
+                doc_id, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 if doc_id is not None and len(found := shingle_set(text, words)):
-                    yield doc_id, found.tobytes()
+                    yield doc_id, found.tobytes(), bool(sides[0][i]), bool(sides[1][i])
 
     return lambda batches: batched(kept(batches), schema)
 
@@ -282,7 +428,7 @@ def _frequencies(texts: DataFrame, words: int) -> np.ndarray:
     """How many documents hold a shingle of each slot, over all documents.
 
     Tasks send their counts in blocks; blocks are added in lanes and the lanes
-    added again, each as a stream. The table has 2**22 numbers at any input.
+    added again, each as a stream. The table has 2**21 numbers at any input.
     """
     kind = "block int, lane int, counts binary"
     counted = texts.mapInArrow(_count_slots(words), kind)
