@@ -134,13 +134,20 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     text. Documents that give nothing are absent. ``doc_id`` must tell documents
     apart; rows without one are left out.
     """
-    taken = mixture(docs, mix).where("taken > 0").select("doc_id", "size", "taken").distinct()
+    # Names that documents are unlikely to have; a column ``copy`` is replaced.
+    size, part = F.col("mix__size"), F.col("mix__taken")
+    taken = (
+        mixture(docs, mix)
+        .where("taken > 0")
+        .select("doc_id", F.col("size").alias("mix__size"), F.col("taken").alias("mix__taken"))
+        .distinct()
+    )
     copies = docs.join(taken, "doc_id").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
+        "copy", F.explode(F.sequence(F.lit(1), F.ceil(part / size).cast("int")))
     )
-    words = (F.col("taken") - (F.col("copy") - 1) * F.col("size")).cast("int")
+    words = (part - (F.col("copy") - 1) * size).cast("int")
     spaced = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
-    cut = F.when(words >= F.col("size"), F.col("text")).otherwise(
+    cut = F.when(words >= size, F.col("text")).otherwise(
         F.array_join(F.slice(spaced, F.lit(1), words), "")
     )
-    return copies.withColumn("text", cut).drop("size", "taken")
+    return copies.withColumn("text", cut).drop("mix__size", "mix__taken")

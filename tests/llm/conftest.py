@@ -1,0 +1,22 @@
+import os
+import sys
+
+import pytest
+
+sys.path[:0] = [
+    os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))),
+    os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+]
+
+
+@pytest.fixture(scope="session")
+def texts(spark):
+    """A maker of document tables with a clashing extra column."""
+
+    def made(*pairs, **columns):
+        names = ", ".join(f"{n} string" for n in columns)
+        rows = [(i, t, "x", *(v[k] for v in columns.values())) for k, (i, t) in enumerate(pairs)]
+        kind = "doc_id long, text string, size string" + (", " + names if names else "")
+        return spark.createDataFrame(rows, kind)
+
+    return made
