@@ -152,7 +152,7 @@ def cumulative(
     Instead each feature is cut at approximate quantiles into buckets; running
     totals are taken within a bucket, and the totals of the buckets before it
     (at most ``buckets`` rows per feature, broadcast) are added. The result is
-    exact however rough the quantiles are. A bucket holds about one part in
+    exact however rough the quantiles are, as they are fixed before. A bucket holds about one part in
     ``buckets`` of the rows, and a value that is more frequent than that is a
     single row by then.
 
@@ -165,7 +165,11 @@ def cumulative(
     if buckets & (buckets - 1):
         raise ValueError("buckets must be a power of two")
     counts = value_counts(tagged, features, "double")
-    bounds = F.broadcast(quantile_bounds(tagged, features, buckets))
+    # The sketch is randomized, so its cut points are taken once: a row per feature.
+    # Both uses of ``placed`` then agree even if Spark plans them apart.
+    cuts = quantile_bounds(tagged, features, buckets)
+    fixed = tagged.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
+    bounds = F.broadcast(fixed)
     # One explicit shuffle that both uses below share.
     placed = (
         _search(counts.join(bounds, "feature"), "bounds", "value", buckets)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from evenkeel.config import ColumnRoles
 from evenkeel.operators import distribution as dist
 from evenkeel.operators import drift, quality
+from evenkeel.plans import catalog
 
 
 def tagged(spark, ref, prod, kind="double", name="x"):
@@ -204,3 +205,15 @@ def test_quality_profile_of_categories(spark):
         "dataset", "n_rows", "n_missing", "n_distinct", "top_category", "top_share",
     )
     assert got == [("prod", 1, 0, 1, "c", 1.0), ("ref", 4, 1, 2, "b", pytest.approx(2 / 3))]
+
+
+def test_numeric_drift_needs_no_exchange_reuse(spark, small):
+    name = "spark.sql.exchange.reuse"
+    found = []
+    for reuse in ("true", "false", "false"):
+        spark.conf.set(name, reuse)
+        try:
+            found.append(rows(catalog.QUERIES["drift_ks"](spark, small)))
+        finally:
+            spark.conf.unset(name)
+    assert found[0] == found[1] == found[2]
