@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.config import KEY, LABEL, PAY_COLUMNS, FeatureLookup
 from evenkeel.functions.expressions import payment_met, payment_unmet, row_sum, select_matching
-from evenkeel.operators.joins import look_up_by_key
+from evenkeel.operators.joins import hot_keys, look_up_by_key
 
 AMOUNT_FRAGMENTS = ("BILL_AMT", "PAY_AMT")
 BASE_COLUMNS = (KEY, "LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE", LABEL)
@@ -91,13 +91,15 @@ def look_up(
     for lookup in lookups:
         features = _lookup_frame(base.sparkSession, lookup)
         by_key.setdefault(tuple(lookup.lookup_key), []).append(features)
+    joined = base
     for keys, frames in by_key.items():
         if skewed and len(keys) == 1:
-            base = look_up_by_key(base, frames, keys[0])
+            # Looking up by unique keys repeats no row, so the base tells what is hot.
+            joined = look_up_by_key(joined, frames, keys[0], hot=hot_keys(base, keys[0]))
         else:
             for features in frames:
-                base = base.join(features, list(keys), "left")
-    return base
+                joined = joined.join(features, list(keys), "left")
+    return joined
 
 
 def create_training_set(

@@ -25,13 +25,14 @@ def task_number(modulo: int) -> Column:
     return F.pmod(F.spark_partition_id(), F.lit(modulo))
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys holding about 1 % of the rows or more: at most 128 rows, one per key.
+def hot_keys(df: DataFrame, key: str) -> list:
+    """Keys holding about 1 % of the rows or more: at most 128 values.
 
     One pass with a frequent-items sketch over the key column, whose error is
     below 0.1 % of the rows. The sketches of the tasks are combined in lanes
     first, so that no single task has to take in all of them. A key flagged
-    wrongly costs a few copies; the join result does not depend on it.
+    wrongly costs a few copies. The values come to the driver at once: both sides
+    of a join must treat the same keys as hot, so they are found only once.
     """
     column = f"`{key}`"
     lanes = (
@@ -48,43 +49,44 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
         F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"), F.sum("n").alias("n")
     ).select(F.expr(f"explode(approx_top_k_estimate(sketch, {HOT_LIMIT}))").alias("top"), "n")
     hot = F.col("top.item").isNotNull() & (F.col("top.count") * HOT_SHARE >= F.col("n"))
-    return found.where(hot).select(F.col("top.item").alias(key))
+    return [row[0] for row in found.where(hot).select("top.item").collect()]
 
 
-def _salted(df: DataFrame, key: str, flag: str, salt: str, salts: int, null_too: bool) -> DataFrame:
-    """The salt of a row: its task number where the key is hot, else 0."""
-    spread = F.col(flag).isNotNull()
-    if null_too:
-        spread = spread | F.col(f"`{key}`").isNull()
+def _among(key: str, hot: Sequence) -> Column:
+    return F.coalesce(F.col(f"`{key}`").isin(list(hot)), F.lit(False)) if hot else F.lit(False)
+
+
+def _salted(df: DataFrame, spread: Column, salt: str, salts: int) -> DataFrame:
+    """The salt of a row: its task number where ``spread`` holds, else 0."""
     return df.withColumn(salt, F.when(spread, task_number(salts)).otherwise(0))
 
 
-def _repeated(df: DataFrame, flag: str, salt: str, salts: int) -> DataFrame:
+def _repeated(df: DataFrame, spread: Column, salt: str, salts: int) -> DataFrame:
     """A row once per salt where the key is hot on the other side, else once."""
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = F.when(F.col(flag).isNotNull(), every).otherwise(F.array(F.lit(0)))
+    copies = F.when(spread, every).otherwise(F.array(F.lit(0)))
     return df.withColumn(salt, F.explode(copies))
 
 
-def _flagged(df: DataFrame, key: str, hot: DataFrame, flag: str) -> DataFrame:
-    return df.join(F.broadcast(hot.withColumn(flag, F.lit(True))), key, "left")
-
-
 def look_up_by_key(
-    left: DataFrame, rights: Sequence[DataFrame], key: str, salts: int = SALTS
+    left: DataFrame,
+    rights: Sequence[DataFrame],
+    key: str,
+    salts: int = SALTS,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """``left`` with the columns of tables that hold each key at most once.
 
     A left join. Rows of a hot key of ``left`` get a salt as a second join key,
     and the one matching row of each table is repeated per salt; rows without a
     key are spread as well. ``left`` is shuffled once however many tables follow.
+    ``hot`` names the hot keys where they are known already.
     """
-    hot = hot_keys(left, key)
-    joined = _salted(_flagged(left, key, hot, "_hot"), key, "_hot", "_salt", salts, True)
-    joined = joined.drop("_hot")
+    hot = hot_keys(left, key) if hot is None else hot
+    joined = _salted(left, _among(key, hot) | F.col(f"`{key}`").isNull(), "_salt", salts)
     for right in rights:
-        copies = _repeated(_flagged(right, key, hot, "_hot"), "_hot", "_salt", salts)
-        joined = joined.join(copies.drop("_hot"), [key, "_salt"], "left")
+        copies = _repeated(right, _among(key, hot), "_salt", salts)
+        joined = joined.join(copies, [key, "_salt"], "left")
     return joined.drop("_salt")
 
 
@@ -94,16 +96,9 @@ def balanced_join(left: DataFrame, right: DataFrame, key: str, salts: int = SALT
     Each side's hot rows are salted and the other side's matching rows are
     repeated per salt, so that every pair still meets exactly once.
     """
-    hot_left, hot_right = hot_keys(left, key), hot_keys(right, key)
-
-    def prepared(df: DataFrame, own: str, own_salt: str, other: str, other_salt: str) -> DataFrame:
-        for name, hot in (("_hot_l", hot_left), ("_hot_r", hot_right)):
-            df = _flagged(df, key, hot, name)
-        df = _salted(df, key, own, own_salt, salts, False)
-        return _repeated(df, other, other_salt, salts).drop("_hot_l", "_hot_r")
-
-    a = prepared(left, "_hot_l", "_salt_l", "_hot_r", "_salt_r")
-    b = prepared(right, "_hot_r", "_salt_r", "_hot_l", "_salt_l")
+    in_left, in_right = (_among(key, hot_keys(df, key)) for df in (left, right))
+    a = _repeated(_salted(left, in_left, "_salt_l", salts), in_right, "_salt_r", salts)
+    b = _repeated(_salted(right, in_right, "_salt_r", salts), in_left, "_salt_l", salts)
     return a.join(b, [key, "_salt_l", "_salt_r"]).drop("_salt_l", "_salt_r")
 
 

@@ -15,7 +15,12 @@ PERFORMANCE_METRICS = (
     "accuracy", "balanced_accuracy", "precision", "recall", "f1", "selection_rate",
 )
 REPLICATES = 200
-_EXACT_BELOW = 30
+_ATTEMPTS = 300
+_HALF_LOG_TWO_PI = math.log(2 * math.pi) / 2
+# What Stirling's formula for log k! lacks, for k from 1; from 16 on a short series gives it.
+_STIRLING = [
+    math.lgamma(k + 1) - (k + 0.5) * math.log(k) + k - _HALF_LOG_TWO_PI for k in range(1, 16)
+]
 
 
 def balanced_accuracy() -> Column:
@@ -45,39 +50,67 @@ def mean_accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.agg(F.avg(same).alias("accuracy"))
 
 
-def _uniform(*parts: Column) -> Column:
-    """A number in (0, 1) that depends on the given values only."""
-    digits = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8)
-    return (F.conv(digits, 16, 10).cast("double") + 0.5) / 4294967296.0
+def _uniform(digits: Column, first: int, length: int) -> Column:
+    """A number in (0, 1) from ``length`` hexadecimal digits."""
+    number = F.conv(F.substring(digits, first, length), 16, 10).cast("double")
+    return (number + 0.5) / float(16**length)
+
+
+def _log_mass(k: Column, rate: Column) -> Column:
+    """Logarithm of the Poisson probability of ``k``, in terms that do not cancel."""
+    x = (k - rate) / rate
+    deviance = rate * ((1 + x) * F.log1p(x) - x)
+    square = 1 / (k * k)
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - square / 1680) * square) * square) / k
+    table = F.array(*[F.lit(v) for v in _STIRLING])
+    lacking = F.when(k <= len(_STIRLING), F.get(table, k.cast("int") - 1)).otherwise(series)
+    return F.when(k == 0, -rate).otherwise(-lacking - deviance - _HALF_LOG_TWO_PI - F.ln(k) / 2)
 
 
 def poisson_draw(mean: Column, *parts: Column) -> Column:
-    """A Poisson variate with the given mean.
+    """A Poisson variate with the given mean, a function of ``parts``.
 
-    Below a mean of 30 the distribution function is inverted exactly; from
-    there on by its normal expansion (Cornish & Fisher) to order 1/sqrt(mean).
+    Rejection from a flat top with exponential tails, which covers every discrete
+    log-concave distribution (Devroye 1987). It is exact at every mean, and an
+    attempt succeeds with a chance of 1/5 or more whatever the mean. Attempts are
+    a stream of hashes; one that were to end unused, which has a chance below
+    1e-28, is an error rather than a wrong number.
     """
     rate = mean.cast("double")
-    u = _uniform(*parts, F.lit("a"))
-    v = _uniform(*parts, F.lit("b"))
+    mode = F.floor(rate).cast("double")
     start = F.struct(
-        F.exp(-rate).alias("mass"), F.exp(-rate).alias("below"), F.lit(0).alias("drawn")
+        rate.alias("rate"),
+        mode.alias("mode"),
+        _log_mass(mode, rate).alias("top"),
+        F.lit(None).cast("double").alias("drawn"),
     )
 
-    def climb(state: Column, k: Column) -> Column:
-        mass = state["mass"] * rate / k
-        return F.struct(
-            mass.alias("mass"),
-            (state["below"] + mass).alias("below"),
-            F.when(state["below"] < u, k).otherwise(state["drawn"]).alias("drawn"),
+    def attempt(state: Column, k: Column) -> Column:
+        peak = F.exp(state["top"])
+        width = 1 + peak / 2
+        digits = F.md5(F.concat_ws("|", *parts, k.cast("string")))
+        inside, along = _uniform(digits, 1, 8), _uniform(digits, 9, 12)
+        far = F.when(inside <= width / (1 + width), along * width).otherwise(width - F.ln(along)) / peak
+        side = F.when(F.substring(digits, 32, 1) < "8", 1).otherwise(-1)
+        offer = F.struct(
+            (state["mode"] + side * F.floor(far + 0.5)).alias("value"),
+            (_uniform(digits, 21, 11) * F.least(F.lit(1.0), F.exp(width - peak * far))).alias("level"),
         )
 
-    inverted = F.aggregate(F.sequence(F.lit(1), F.lit(150)), start, climb, lambda s: s["drawn"])
-    z = F.sqrt(-2 * F.ln(u)) * F.cos(F.lit(2 * math.pi) * v)
-    root = F.sqrt(rate)
-    expanded = rate + root * z + (z * z - 1) / 6 + (z - z * z * z) / (72 * root)
-    rounded = F.greatest(F.lit(0), F.floor(expanded + 0.5).cast("long"))
-    return F.when(rate < _EXACT_BELOW, inverted.cast("long")).otherwise(rounded)
+        def judged(offer: Column) -> Column:
+            share = F.exp(_log_mass(offer["value"], state["rate"]) - state["top"])
+            # The first test guards the second: no mass below zero.
+            return F.when(offer["value"] >= 0, F.when(offer["level"] <= share, offer["value"]))
+
+        drawn = F.get(F.transform(F.array(offer), judged), F.lit(0))
+        tried = F.struct(*[state[c].alias(c) for c in ("rate", "mode", "top")], drawn.alias("drawn"))
+        return F.when(state["drawn"].isNotNull(), state).otherwise(tried)
+
+    drawn = F.aggregate(
+        F.sequence(F.lit(1), F.lit(_ATTEMPTS)), start, attempt, lambda s: s["drawn"].cast("long")
+    )
+    unused = F.raise_error(F.lit("a Poisson draw found no value")).cast("long")
+    return F.when(rate == 0, F.lit(0).cast("long")).when(rate > 0, F.coalesce(drawn, unused))
 
 
 def resample(

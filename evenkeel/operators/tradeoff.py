@@ -39,9 +39,16 @@ def threshold_curves(
     """True and false positives of each side at every threshold 0..bins.
 
     Rows are counted once per (flags, score, class). The curves are dense: a
-    threshold nobody scored is there as well.
+    threshold nobody scored is there as well. A score below 0 or above ``bins``
+    is an error; rows without score or label are not counted.
     """
-    bounded = F.least(F.lit(bins), F.greatest(F.lit(0), F.col(f"`{score}`").cast("int")))
+    given = F.col(f"`{score}`")
+    beyond = F.concat(F.lit(f"score outside 0..{bins}: "), given.cast("string"))
+    bounded = (
+        F.when(given.isNull(), F.lit(None).cast("int"))
+        .when((given >= 0) & (given <= bins), given.cast("int"))
+        .otherwise(F.raise_error(beyond).cast("int"))
+    )
     counted = (
         df.select(*privilege_flags(protected), bounded.alias("th"), F.col(f"`{label}`").alias("y"))
         .where(F.col("th").isNotNull() & F.col("y").isNotNull())

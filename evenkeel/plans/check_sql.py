@@ -171,20 +171,28 @@ cells AS (
     count(*)::DOUBLE AS rate
   FROM credit GROUP BY ALL
 ),
+modes AS (SELECT *, floor(rate) AS mode, exp(floor(rate) * ln(rate) - rate - lgamma(floor(rate) + 1)) AS peak FROM cells),
+tries AS (
+  SELECT *, md5(concat_ws('|', '0', r, SEX, MARRIAGE, y, yhat, k)) AS h
+  FROM modes, (SELECT unnest(range(1, 201)) AS r), (SELECT unnest(range(1, 301)) AS k)
+),
 uniforms AS (
-  SELECT *, (('0x' || substr(md5(concat_ws('|', '0', r, SEX, MARRIAGE, y, yhat, 'a')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS u,
-    (('0x' || substr(md5(concat_ws('|', '0', r, SEX, MARRIAGE, y, yhat, 'b')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS v
-  FROM cells, (SELECT unnest(range(1, 201)) AS r)
+  SELECT * EXCLUDE h, CASE WHEN substr(h, 32, 1) < '8' THEN 1 ELSE -1 END AS side,
+    (('0x' || substr(h, 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS a,
+    (('0x' || substr(h, 9, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS b,
+    (('0x' || substr(h, 21, 11))::BIGINT + 0.5::DOUBLE) / 17592186044416.0::DOUBLE AS c
+  FROM tries
+),
+hats AS (
+  SELECT *, (CASE WHEN a * (4 + peak) <= 2 + peak THEN b * (1 + peak / 2) ELSE 1 + peak / 2 - ln(b) END) / peak AS far
+  FROM uniforms
 ),
-normals AS (SELECT *, sqrt(-2 * ln(u)) * cos(2 * pi() * v) AS z FROM uniforms),
+offers AS (SELECT *, mode + side * floor(far + 0.5) AS n FROM hats),
 drawn AS (
-  SELECT r, SEX, MARRIAGE, y, yhat, CASE WHEN rate < 30 THEN
-    list_sum(list_transform(range(0, 150), lambda k: CASE WHEN
-      list_sum(list_transform(range(0, k + 1), lambda j: exp(j * ln(rate) - rate - lgamma(j + 1)))) < u
-      THEN 1 ELSE 0 END))::BIGINT
-    ELSE greatest(0, floor(rate + sqrt(rate) * z + (z * z - 1) / 6 + (z - z * z * z) / (72 * sqrt(rate)) + 0.5))::BIGINT
-    END AS n
-  FROM normals
+  SELECT r, SEX, MARRIAGE, y, yhat, arg_min(n, k)::BIGINT AS n FROM offers
+  WHERE n >= 0 AND c * least(1, exp(1 + peak / 2 - peak * far))
+    <= exp((n - mode) * ln(rate) - lgamma(greatest(n, 0) + 1) + lgamma(mode + 1))
+  GROUP BY r, SEX, MARRIAGE, y, yhat
 )"""
 
 
@@ -502,7 +510,7 @@ outcome_rows AS (
 ),
 outcome_counts AS (
   SELECT protected_var, g, outcome, o, count(DISTINCT USER_ID) AS n_users FROM outcome_rows
-  WHERE g IS NOT NULL AND o IS NOT NULL GROUP BY ALL
+  WHERE g IS NOT NULL AND o IS NOT NULL GROUP BY r, SEX, MARRIAGE, y, yhat
 )"""
 _OUTCOME_RATES = """SELECT protected_var, CAST(g AS VARCHAR) AS group_value,
   CASE WHEN protected_var = 'SEX' THEN CASE WHEN g = 1 THEN 'MALE' ELSE 'FEMALE' END

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 
 import pytest
@@ -94,16 +95,58 @@ def test_performance_against_spark_ml(spark):
     assert got["balanced_accuracy"] == pytest.approx(balanced)
 
 
-@pytest.mark.parametrize("mean", [0.7, 12.0, 31.0, 5000.0])
+def draws(spark, mean, n):
+    return spark.range(n, numPartitions=4).select(
+        perf.poisson_draw(F.lit(mean), F.lit("s"), F.col("id").cast("string")).alias("d")
+    )
+
+
+@pytest.mark.parametrize("mean", [0.7, 5.0, 12.0, 29.0, 31.0, 1000.0, 1e9])
 def test_poisson_draws(spark, mean):
+    """Mean, variance and shape: the largest gap between the distribution functions."""
     n = 4000
-    drawn = spark.range(n).select(
-        perf.poisson_draw(F.lit(mean), F.lit("s"), F.col("id").cast("string")).cast("double").alias("d")
+    got = [r["d"] for r in draws(spark, mean, n).collect()]
+    average = sum(got) / n
+    assert abs(average - mean) < 5 * (mean / n) ** 0.5
+    assert 0.85 * mean < sum((d - average) ** 2 for d in got) / n < 1.15 * mean
+    assert min(got) >= 0
+
+    def below_or_at(k):
+        if mean > 1e6:
+            return 0.5 * math.erfc((mean - k - 0.5) / math.sqrt(2 * mean))
+        return math.fsum(math.exp(i * math.log(mean) - mean - math.lgamma(i + 1)) for i in range(k + 1))
+
+    got.sort()
+    last = {k: at + 1 for at, k in enumerate(got)}
+    assert max(abs(at / n - below_or_at(k)) for k, at in last.items()) < 1.95 / n**0.5
+
+
+def test_poisson_draw_of_nothing(spark):
+    drawn = spark.range(1).select(
+        perf.poisson_draw(F.lit(0), F.lit("s")).alias("zero"),
+        perf.poisson_draw(F.lit(None), F.lit("s")).alias("none"),
+    ).first()
+    assert tuple(drawn) == (0, None)
+
+
+def test_intervals_cover_the_true_value(spark):
+    """Of 200 samples, about 95 in 100 have an interval around the true share."""
+    rng, true, size = random.Random(11), 0.3, 300
+    hits = [sum(rng.random() < true for _ in range(size)) for _ in range(200)]
+    cells = spark.createDataFrame([(i, y, h if y else size - h) for i, h in enumerate(hits) for y in (0, 1)], "i int, y int, n int")
+    drawn = cells.select("i", "y", "n", F.explode(F.sequence(F.lit(1), F.lit(200))).alias("replicate")).select(
+        "i", "replicate", "y", perf.poisson_draw(F.col("n"), *[F.col(c).cast("string") for c in ("i", "y", "replicate")]).alias("n")
     )
-    got = drawn.agg(F.avg("d").alias("m"), F.variance("d").alias("v"), F.min("d").alias("lo")).first()
-    assert abs(got["m"] - mean) < 5 * (mean / n) ** 0.5
-    assert 0.85 * mean < got["v"] < 1.15 * mean
-    assert got["lo"] >= 0
+    share = drawn.groupBy("i", "replicate").agg((F.sum(F.col("y") * F.col("n")) / F.sum("n")).alias("value"))
+    inside = perf._interval(share, ["i"], 0.95).where((F.col("ci_low") <= true) & (F.col("ci_high") >= true)).count()
+    assert 178 <= inside <= 199
+
+
+def test_scores_outside_the_range_are_an_error(spark):
+    for bad in (-1, 101):
+        df = spark.createDataFrame([(1, 1, 0, 50), (2, 2, 1, bad)], "SEX int, MARRIAGE int, default int, score int")
+        with pytest.raises(Exception, match="score outside"):
+            trade.threshold_curves(df, {"SEX": (1,)}).collect()
 
 
 def test_intervals_hold_the_value_and_repeat(spark):
