@@ -185,7 +185,7 @@ def fair_conclusion(
     threshold: float = FAIR_THRESHOLD,
     run: str = "model_run_id",
 ) -> DataFrame:
-    """'fair' where the primary gap is within the threshold, else 'unfair'."""
+    """'fair' where the primary gap is within the threshold, 'undefined' without one, else 'unfair'."""
     value = F.col("parity")
     return fairness.where(F.col("metric") == metric).select(
         run,
@@ -193,7 +193,10 @@ def fair_conclusion(
         "metric",
         value.alias("value"),
         F.lit(threshold).alias("threshold"),
-        F.when(F.abs(value) <= threshold, "fair").otherwise("unfair").alias("conclusion"),
+        F.when(value.isNull(), "undefined")
+        .when(F.abs(value) <= threshold, "fair")
+        .otherwise("unfair")
+        .alias("conclusion"),
     )
 
 

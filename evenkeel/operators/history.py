@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from evenkeel import schemas
 from evenkeel.config import FAIRNESS_METRICS
 from evenkeel.functions.expressions import keep_map_keys
 from evenkeel.operators.joins import look_up_by_key
-from evenkeel.sources.tables import append, parse_json
+from evenkeel.sources.tables import parse_json, replace_partitions
 
 
 def registry_events(events: DataFrame, column: str = "event_message") -> DataFrame:
@@ -73,19 +74,22 @@ def save_run(
     tradeoff: DataFrame,
     conclusion: DataFrame,
 ) -> None:
-    """Append the results of a run to the result tables below ``root``."""
+    """Store the results of a run in the result tables below ``root``.
+
+    The tables are partitioned by run; saving a run again replaces its rows.
+    """
     spark = fairness.sparkSession
     run = spark.createDataFrame([(run_id, source_data)], schemas.RUNS)
-    named = F.lit(run_id)
-    append(run, f"{root}/runs", schema=schemas.RUNS)
-    append(
-        fairness.withColumn("model_run_id", named), f"{root}/fairness", schema=schemas.FAIRNESS
-    )
-    append(performance.withColumn("run_id", named), f"{root}/perf", schema=schemas.PERFORMANCE)
-    append(tradeoff.withColumn("run_id", named), f"{root}/tradeoff", schema=schemas.TRADEOFF)
-    append(
-        conclusion.withColumn("run_id", named), f"{root}/conclusion", schema=schemas.CONCLUSION
-    )
+
+    def keep(df: DataFrame, name: str, schema: StructType, key: str = "run_id") -> None:
+        rows = schemas.conform(df.withColumn(key, F.lit(run_id)), schema)
+        replace_partitions(rows, f"{root}/{name}", [key])
+
+    keep(run, "runs", schemas.RUNS)
+    keep(fairness, "fairness", schemas.FAIRNESS, "model_run_id")
+    keep(performance, "perf", schemas.PERFORMANCE)
+    keep(tradeoff, "tradeoff", schemas.TRADEOFF)
+    keep(conclusion, "conclusion", schemas.CONCLUSION)
 
 
 def deployment_rows(events: DataFrame, gate: DataFrame, run_ts: Column | None = None) -> DataFrame:

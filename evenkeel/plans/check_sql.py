@@ -594,7 +594,7 @@ def statements() -> dict[str, str]:
     )
     out["fair_conclusion"] = _fairness(
         'SELECT model_run_id, protected_var, metric, round(parity, 6) AS "value", 0.43::DOUBLE AS threshold, '
-        "CASE WHEN abs(parity) <= 0.43 THEN 'fair' ELSE 'unfair' END AS conclusion "
+        "CASE WHEN parity IS NULL THEN 'undefined' WHEN abs(parity) <= 0.43 THEN 'fair' ELSE 'unfair' END AS conclusion "
         "FROM fairness WHERE metric = 'equal_opportunity'",
         "segment",
     )
@@ -727,7 +727,7 @@ def statements() -> dict[str, str]:
     out["saved_quality"] = f"SELECT *, {_SIGNED} FROM ({inner})"
     out["saved_run"] = _fairness(
         "SELECT model_run_id AS run_id, protected_var, metric, round(parity, 6) AS \"value\", "
-        "0.43::DOUBLE AS threshold, CASE WHEN abs(parity) <= 0.43 THEN 'fair' ELSE 'unfair' END AS conclusion, "
+        "0.43::DOUBLE AS threshold, CASE WHEN parity IS NULL THEN 'undefined' WHEN abs(parity) <= 0.43 THEN 'fair' ELSE 'unfair' END AS conclusion, "
         "'clean/credit' AS source_data FROM fairness WHERE metric = 'equal_opportunity'"
     )
     out["unscored_baseline"] = _credit(

@@ -55,8 +55,8 @@ class Monitor:
         """Cleaned and scored rows with their label.
 
         Every batch is cleaned like the training data; raw classes in new data
-        alone would look like drift. The label of a row passes through the scorer. Only labels that arrive as
-        a frame of their own are joined by key.
+        alone would look like drift. The label of a row passes through the scorer.
+        Only labels that arrive as a frame of their own are joined by key.
         """
         if self.scorer is None:
             raise ValueError("this monitor has no scorer")
@@ -101,15 +101,22 @@ class Monitor:
         """Score, stamp and append a batch; returns the number of rows added.
 
         A batch with an explicit ``load_id`` may be repeated after a failure: it
-        replaces its own partition only. Columns known from the table are cast
-        to its types; new ones are allowed. The count comes from the written
-        partition's file footers, not from a second run of the scorer.
+        replaces all that the load wrote earlier, for whatever date; a repeat
+        without rows leaves nothing of it. Columns known from the table are cast
+        to its types; new ones are allowed. The count comes from the file footers
+        of the load's own partitions, not from a second run of the scorer.
         """
         load_id = load_id or f"load-{uuid.uuid4().hex[:12]}"
         rows = self._cast_known(self._scored(df, labels))
         stamped = self._stamped(rows, as_of, load_id)
+        earlier = tables.partition_files(self.spark, self.path, LOAD, load_id)
         tables.replace_partitions(stamped, self.path, self._partitions)
-        return self.read().where(F.col(LOAD) == load_id).count()
+        written = tables.partition_files(self.spark, self.path, LOAD, load_id)
+        # What the write left alone belongs to the load's earlier run.
+        for folder in [f for f, files in written.items() if files == earlier.get(f)]:
+            tables.remove_folder(self.spark, folder)
+            del written[folder]
+        return self.spark.read.parquet(*written).count() if written else 0
 
     def _cast_known(self, df: DataFrame) -> DataFrame:
         if self.schema is None:

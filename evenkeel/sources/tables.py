@@ -109,6 +109,24 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fm
     )
 
 
+def partition_files(spark: SparkSession, path: str, column: str, value: str) -> dict[str, set[str]]:
+    """Folders of partitions with ``column = value`` one level below others, and their files."""
+    jvm = spark.sparkContext._jvm
+    named = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/*/{column}={named}/*")
+    files = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found: dict[str, set[str]] = {}
+    for status in files.globStatus(pattern) or []:
+        file = status.getPath()
+        found.setdefault(file.getParent().toString(), set()).add(file.getName())
+    return found
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def append_catalog(df: DataFrame, table: str, fmt: str = FORMAT) -> None:
     df.write.format(fmt).mode("append").saveAsTable(table)
 

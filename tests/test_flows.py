@@ -57,6 +57,18 @@ def test_baseline_and_batches(spark, records):
         again.slices(Window("2020-01-01", "2020-02-01"), PRODUCTION_WINDOW)
 
 
+def test_a_load_may_be_repeated(spark, records):
+    """For another date or without rows, too; other loads stay."""
+    monitor = new_monitor(spark)
+    monitor.register_baseline(records.limit(10), as_of="2022-03-01")
+    monitor.add_new_data(records.limit(7), as_of="2022-12-17", load_id="other")
+    assert monitor.add_new_data(records.limit(30), as_of="2022-12-17", load_id="a/b=1") == 30
+    assert monitor.add_new_data(records.limit(20), as_of="2022-12-18", load_id="a/b=1") == 20
+    assert monitor.read().count() == 37
+    assert monitor.add_new_data(records.limit(0), as_of="2022-12-18", load_id="a/b=1") == 0
+    assert monitor.read().count() == 17
+
+
 def test_types_of_a_batch_follow_the_table(spark, records):
     monitor = new_monitor(spark)
     monitor.register_baseline(records, as_of="2022-03-01")
