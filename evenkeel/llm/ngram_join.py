@@ -14,7 +14,10 @@ In each posting list all nodes are paired with the list's two ends only; pairs w
 enough common shingles are compared, close ones form clusters, and where a cluster is
 not connected by then each node is compared with its pivot. Inside a cluster a second prefix filter works on what differs from the pivot,
 so a large group of copies makes no quadratic number of pairs; across clusters the
-posting lists decide. Every link is verified on the whole sets.
+posting lists decide. Before whole sets are brought together, pairs pass a parity
+bitmap of each set: the bits in which two bitmaps differ are at most the shingles in
+which the sets differ, so only pairs that cannot link are left out. Every link is
+verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -131,8 +134,9 @@ def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFr
         .select("a", "b"),
         "first",
     )
+    likely = _plausible(texts, first, similarity, close=0.5)
     scored = save(
-        _with_sets(texts, first, similarity).mapInArrow(
+        _with_sets(texts, likely, similarity).mapInArrow(
             _compared(similarity, close=0.5), "a long, b long, linked boolean"
         ),
         "scored",
@@ -160,12 +164,13 @@ def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFr
         .distinct(),
         "rest",
     )
-    later = _with_sets(texts, rest, similarity).mapInArrow(
+    possible = _plausible(texts, rest, similarity)
+    later = _with_sets(texts, possible, similarity).mapInArrow(
         _compared(similarity), "a long, b long, linked boolean"
     )
     by_pivot = told.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     found = save(near.union(by_pivot).union(later.select("a", "b")).distinct(), "found")
-    for table in (hits, first, scored, grouped, told, placed, rest):
+    for table in (hits, first, likely, scored, grouped, told, placed, rest, possible):
         discard(table)
     return found
 
@@ -304,7 +309,22 @@ def _across(placed: DataFrame, similarity: Similarity) -> DataFrame:
 
 
 def _with_sets(texts: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
-    """``(a, b, x, y)``: pairs with both sets. Only sets of documents in a pair are built."""
+    """``(a, b, x, y)``: pairs with both sets."""
+    return _with_both(texts, pairs, similarity, np.ndarray.tobytes)
+
+
+def _plausible(
+    texts: DataFrame, pairs: DataFrame, similarity: Similarity, close: float = 1.0
+) -> DataFrame:
+    """The pairs ``(a, b)`` whose bitmaps leave ``close`` times the similarity that links possible."""
+    both = _with_both(texts, pairs, similarity, _bitmap)
+    return save(both.mapInArrow(_possible(similarity, close), "a long, b long").distinct(), "plausible")
+
+
+def _with_both(
+    texts: DataFrame, pairs: DataFrame, similarity: Similarity, form: Callable[[np.ndarray], bytes]
+) -> DataFrame:
+    """``(a, b, x, y)``: pairs with both sets in the given form. Only sets of documents in a pair are built."""
     context = texts.sparkSession.sparkContext
     held = [
         context.broadcast(bloom.build(pairs.select(side).distinct(), F.xxhash64(side)))
@@ -312,7 +332,7 @@ def _with_sets(texts: DataFrame, pairs: DataFrame, similarity: Similarity) -> Da
     ]
     sets = save(
         texts.withColumn("hashed", F.xxhash64("doc_id")).mapInArrow(
-            _sets(similarity.words, *held),
+            _sets(similarity.words, form, *held),
             "doc_id long, shingles binary, first boolean, second boolean",
         ),
         "sets",
@@ -322,6 +342,37 @@ def _with_sets(texts: DataFrame, pairs: DataFrame, similarity: Similarity) -> Da
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
 
 
+def _bitmap(shingles: np.ndarray) -> bytes:
+    """The set's size in 8 bytes, then a power of two of bits, 4 or more a shingle.
+
+    A bit tells whether an odd number of shingles falls on it.
+    """
+    width = 1 << max(6, (4 * len(shingles) - 1).bit_length())
+    places = (shingles & np.uint64(width - 1)).astype(np.int64)
+    odd = (np.bincount(places, minlength=width) & 1).astype(np.uint8)
+    return len(shingles).to_bytes(8, "little") + np.packbits(odd).tobytes()
+
+
+def _least_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which two bitmaps differ; the wider one is folded to the other's width."""
+    small, large = (x, y) if len(x) < len(y) else (y, x)
+    folded = np.bitwise_xor.reduce(large.reshape(-1, len(small)), axis=0)
+    return int(np.bitwise_count(folded ^ small).sum())
+
+
+def _possible(similarity: Similarity, close: float) -> Callable:
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def found(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for a, b, x, y in rows(batches):
+            total = int.from_bytes(x[:8], "little") + int.from_bytes(y[:8], "little")
+            differ = _least_difference(np.frombuffer(x[8:], np.uint8), np.frombuffer(y[8:], np.uint8))
+            if similarity.den * (total - differ) >= close * similarity.num * (total + differ):
+                yield a, b
+
+    return lambda batches: batched(found(batches), schema)
+
+
 def _differing(similarity: Similarity) -> Callable:
     schema = pa.schema(
         [
@@ -361,7 +412,7 @@ def _compared(similarity: Similarity, close: float = 1.0) -> Callable:
     return lambda batches: batched(found(batches), schema)
 
 
-def _sets(words: int, first, second) -> Callable:
+def _sets(words: int, form: Callable[[np.ndarray], bytes], first, second) -> Callable:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("shingles", pa.binary()), ("first", pa.bool_()), ("second", pa.bool_())]
     )
@@ -373,7 +424,7 @@ def _sets(words: int, first, second) -> Callable:
             for i in np.flatnonzero(sides[0] | sides[1]):
                 doc_id, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 if doc_id is not None and len(found := shingle_set(text, words)):
-                    yield doc_id, found.tobytes(), bool(sides[0][i]), bool(sides[1][i])
+                    yield doc_id, form(found), bool(sides[0][i]), bool(sides[1][i])
 
     return lambda batches: batched(kept(batches), schema)
 

@@ -100,6 +100,19 @@ def test_ngram_join_of_nothing(texts):
     assert ngram_join.jaccard_components(texts()).count() == 0
 
 
+def test_bitmaps_differ_in_no_more_places_than_sets():
+    draw = np.random.default_rng(5)
+    for size, other, common in [(1, 1, 0), (1, 1, 1), (3, 900, 2), (900, 850, 800), (20_000, 37, 30), (5_000, 5_000, 0)]:
+        pool = np.unique(draw.integers(0, 2**64, size + other, dtype=np.uint64))
+        draw.shuffle(pool)
+        x, y = pool[:size], pool[size - common : size - common + other]
+        bits = [np.frombuffer(ngram_join._bitmap(s)[8:], np.uint8) for s in (x, y)]
+        differ = ngram_join._least_difference(*bits)
+        assert differ <= len(np.setxor1d(x, y))
+        assert differ == ngram_join._least_difference(*bits[::-1])
+    assert differ > 5_000
+
+
 def test_fingerprints_combine_in_any_grouping():
     data = bytes(range(256)) * 40
     whole = fingerprints.fingerprint(data)
