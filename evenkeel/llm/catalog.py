@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +17,18 @@ from evenkeel.llm import (
     mixing,
     ngram_join,
     pii,
+    prefix_trie,
     quality,
     substring,
+    token_counts,
     warc,
+    whitening,
 )
+from evenkeel.llm.scratch import save
 from evenkeel.session import scratch_path
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -89,6 +97,25 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(_table(spark, folder, "pages"), scratch_path(spark, "archives"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    numbered = save(prefix_trie.turns(_table(spark, folder, "conversations")), "turns")
+    return prefix_trie.prefix_trie(prefix_trie.spliced(numbered))
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of each document."""
+    definition = Path(TOKENIZER).read_text(encoding="utf-8")
+    return token_counts.token_counts(_table(spark, folder, "documents"), definition, limit=2048)
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first eight whitened components of each embedding."""
+    return whitening.whitened(_table(spark, folder, "embeddings"), components=8).withColumn(
+        "deviation", F.col("deviation").cast("long")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -102,5 +129,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_quality,
         op10_warc,
+        op11_prefix_trie,
+        op12_token_counts,
+        op13_whitening,
     )
 }

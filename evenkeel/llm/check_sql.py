@@ -126,10 +126,49 @@ SELECT page_id, size AS payload_bytes, digest AS payload_digest,
 FROM named
 """
 
+# The polynomial is that of CRC-32, reflected.
+_OP11 = """
+WITH own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce("text", '')} ORDER BY turn NULLS FIRST) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), summed AS (
+  SELECT conv_id, l, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 9 AS h
+  FROM own
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(list_slice(coalesce(b.l, []), 1, o.h), list_slice(o.l, o.h + 1, len(o.l))) AS path
+  FROM summed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+), members AS (
+  SELECT conv_id, len(path) AS total, unnest(range(0, len(path) + 1)) AS depth, path FROM rebuilt
+), nodes AS (
+  SELECT depth, list_slice(path, 1, depth) AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = total), '') AS ends
+  FROM members GROUP BY ALL
+), sized AS (
+  SELECT n.*, (SELECT count(*) FROM nodes c
+      WHERE c.depth = n.depth + 1 AND list_slice(c.prefix, 1, n.depth) = n.prefix) AS n_children,
+    CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(prefix[depth].t) END AS saved
+  FROM nodes n
+), below AS (
+  SELECT unnest(range(0, depth + 1)) AS above, prefix, n_children, saved FROM sized
+), subtrees AS (
+  SELECT above, list_slice(prefix, 1, above) AS prefix, sum((n_children = 0)::INT)::BIGINT AS n_leaves,
+    sum(saved)::BIGINT AS saved_tokens
+  FROM below GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens,
+  sha256(n.ends) AS ends_sha256
+FROM sized n JOIN subtrees s ON s.above = n.depth AND s.prefix = n.prefix
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+"""
+
 SQL: dict[str, str] = {
     "op1_ngram_join": _OP1,
     "op4_exact_dedup": _OP4,
     "op7_mixing": _OP7,
     "op8_line_dedup": _OP8,
     "op10_warc": _OP10,
+    "op11_prefix_trie": _OP11,
 }
