@@ -138,9 +138,14 @@ def tricky():
     return texts
 
 
-@pytest.mark.parametrize("definition, by_word", [(WORDS, True), (WORDS, False), (BYTES, False)])
-def test_token_counts_equal_the_library(spark, monkeypatch, definition, by_word):
+@pytest.mark.parametrize(
+    "definition, cutter",
+    [(WORDS, token_counts.Words), (WORDS, token_counts.PreTokens), (BYTES, token_counts.PreTokens)],
+)
+def test_token_counts_equal_the_library(spark, monkeypatch, definition, cutter):
     monkeypatch.setattr(token_counts, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(token_counts, "BUCKETS", 5)
+    monkeypatch.setattr(token_counts, "KNOWN", 30)
     texts = tricky()
     rows = [(i if i % 7 else None, t, "x") for i, t in enumerate(texts)] + [(3, "repeated id", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string").repartition(3)
@@ -149,7 +154,7 @@ def test_token_counts_equal_the_library(spark, monkeypatch, definition, by_word)
     for i, text, _ in rows:
         n = len(tokenizer.encode(text or "", add_special_tokens=False).ids)
         expected.append((i, len((text or "").encode()), n, n > 20))
-    got = token_counts.token_counts(docs, definition, limit=20, by_word=by_word)
+    got = token_counts.token_counts(docs, definition, limit=20, cutter=cutter)
     assert found(got, "doc_id", "n_bytes", "n_tokens", "over_limit") == sorted(expected, key=repr)
 
 
@@ -161,9 +166,9 @@ def test_token_counts_of_all_documents(spark, small):
     assert token_counts.token_counts(docs.limit(0), WORDS).count() == 0
 
 
-def test_words_need_a_tokenizer_without_spaces(spark):
+def test_words_need_a_tokenizer_without_spaces():
     with pytest.raises(ValueError, match="white space"):
-        token_counts.PreTokens(BYTES).check_by_word()
+        token_counts.Words(BYTES)
 
 
 # Whitening
