@@ -1,92 +1,206 @@
 """Substring dedup over sliding spans of sentences.
 
-Every run of several consecutive sentences is hashed. The hashes of all documents
-meet in one aggregation that finds each repeated run's first place; the sentences
-of every other place of that run are removed. Long repeated passages are thus cut
-out sentence by sentence, wherever they stand in a text.
+Every run of consecutive sentences that holds enough words is hashed. The hashes of
+all documents meet in one aggregation that finds each repeated run's first place; the
+sentences of every other place of that run are covered, and covered stretches of
+enough words are removed. A long sentence is cut behind words that their own
+characters mark, so that a passage is found wherever foreign text is glued to it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.scratch import discard, save
-from evenkeel.llm.spans import dropped_runs, without
-from evenkeel.llm.text import WHITESPACE, lower_ascii
+from evenkeel.llm.spans import dropped_runs
+from evenkeel.llm.text import batched, folded_words, rows, word_hashes
+
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_STOP = np.zeros(256, dtype=bool)
+_STOP[[ord(c) for c in ".!?"]] = True
+_STEPS = [0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93]
+_MIX = np.uint64(0xFF51AFD7ED558CCD)
+
+
+@dataclass(frozen=True)
+class Spans:
+    """Which runs count.
+
+    A sentence of more than ``longest`` words is cut behind each word whose characters'
+    code points, A-Z lower-cased, add up to a multiple of ``cut_every``. A run closes
+    with the sentence that brings it to ``run_words``; a covered stretch goes if it
+    holds ``least_words``.
+    """
+
+    longest: int = 8
+    cut_every: int = 4
+    run_words: int = 20
+    least_words: int = 30
+
 
-# A sentence with the marks, line ends and white space behind it.
-_SENTENCE = r"[^.!?\n]++[.!?\n]*+[\x20\x09-\x0D]*+|[.!?\n]++[\x20\x09-\x0D]*+"
+@dataclass(frozen=True)
+class Sentences:
+    """Sentences of a text: ends as word numbers and as byte offsets, and word hashes."""
 
+    ends: np.ndarray
+    offsets: np.ndarray
+    hashes: np.ndarray
 
-def sentences(text: Column) -> Column:
-    """The sentences of a text; put together they are the text."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_SENTENCE), F.lit(0))
+    @property
+    def words(self) -> np.ndarray:
+        return np.diff(self.ends, prepend=0)
 
 
-def repeated_sentences(docs: DataFrame, run: int = 3, least: int = 40) -> DataFrame:
-    """``(doc_id, print, n_dropped, dropped)`` of documents that lose sentences.
+def sentences(text: bytes, rule: Spans) -> Sentences:
+    """A sentence ends behind a word that ends in ``.``, ``!`` or ``?``, and at a line end.
 
-    A run of ``run`` consecutive sentences counts if its keys (A-Z lower-cased,
-    white space stripped at both ends) hold ``least`` code points together; a text
-    of fewer sentences is one run. The first place is that with the smallest
-    ``doc_id``, then position; all sentences of all other places are dropped.
-    ``print`` is a hash of the text, to tell apart rows that repeat a ``doc_id``;
-    repeated rows of id and text are one document. A row without id counts as the
-    largest id. docs: ``doc_id`` and ``text``.
+    White space behind a sentence belongs to it, that at the start to the first one.
     """
+    raw = np.frombuffer(text, dtype=np.uint8)
+    space = _SPACE[raw]
+    starts = np.flatnonzero(~space & np.append(True, space[:-1]))
+    stops = np.flatnonzero(~space & np.append(space[1:], True)) + 1
+    if not len(starts):
+        none = np.empty(0, dtype=np.int64)
+        return Sentences(none, none, none.astype(np.uint64))
+    nexts = np.append(starts[1:], len(raw))
+    lines = np.cumsum(raw == ord("\n"))
+    closes = _STOP[raw[stops - 1]] | (lines[nexts - 1] > lines[stops - 1])
+    number = np.cumsum(closes) - closes
+    long = np.bincount(number) > rule.longest
+    points = np.frombuffer(text.lower().decode().encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    # Offsets in characters: bytes that continue a character do not count.
+    place = np.cumsum((raw & 0xC0) != 0x80) - 1
+    running = np.append(0, np.cumsum(points))
+    sums = running[place[stops - 1] + 1] - running[place[starts]]
+    closes |= long[number] & (sums % rule.cut_every == 0)
+    closes[-1] = True
+    at = np.flatnonzero(closes)
+    return Sentences(at + 1, nexts[at], word_hashes(folded_words(text)))
+
+
+def _powers(step: int, count: int) -> np.ndarray:
+    return np.cumprod(np.append(np.uint64(1), np.full(count, step, dtype=np.uint64)), dtype=np.uint64)[: count + 1]
+
+
+def _runs(found: Sentences, rule: Spans) -> tuple[np.ndarray, ...]:
+    """First sentence, number of sentences and two hashes of each run."""
+    before = found.ends - found.words
+    last = np.searchsorted(found.ends, before + rule.run_words)
+    at = np.flatnonzero(last < len(found.ends))
+    start, stop = before[at], found.ends[last[at]]
+    keys = []
+    for step in _STEPS:
+        # A polynomial of the words; dividing by the step's power moves a run to its start.
+        mixed = found.hashes ^ (found.hashes >> np.uint64(31)) * np.uint64(step)
+        total = np.append(np.uint64(0), np.cumsum(mixed * _powers(step, len(mixed))[:-1], dtype=np.uint64))
+        key = (total[stop] - total[start]) * _powers(pow(step, -1, 1 << 64), len(mixed))[start]
+        key ^= key >> np.uint64(32)
+        keys.append((key * _MIX).view(np.int64))
+    return at, last[at] - at + 1, *keys
+
+
+def _listed(rule: Spans):
+    schema = pa.schema(
+        [("doc", pa.int64()), ("print", pa.int64()), ("at", pa.int32()), ("length", pa.int32()),
+         ("high", pa.int64()), ("low", pa.int64())]
+    )
+
+    def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts: list[tuple] = []
+            for doc, mark, text in rows([batch]):
+                at, length, high, low = _runs(sentences(text, rule), rule)
+                parts.append((np.full(len(at), doc), np.full(len(at), mark), at, length, high, low))
+            if parts:
+                columns = [np.concatenate(c) for c in zip(*parts)]
+                arrays = [pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, schema)]
+                yield from pa.Table.from_arrays(arrays, schema=schema).to_batches(max_chunksize=1 << 15)
+
+    return made
+
+
+def _prepared(docs: DataFrame) -> DataFrame:
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    keys = F.transform(sentences(F.col("text")), lambda s: lower_ascii(F.btrim(s, F.lit(WHITESPACE))))
-    listed = docs.select(own.alias("doc"), F.xxhash64("text").alias("print"), keys.alias("keys")).where(
-        F.size("keys") > 0
-    )
-    places = F.sequence(F.lit(0), F.greatest(F.size("keys") - run, F.lit(0)))
-    joined = F.array_join(F.slice("keys", F.col("at") + 1, F.lit(run)), "\n")
-    runs = (
-        listed.select("doc", "print", "keys", F.explode(places).alias("at"))
-        .select("doc", "print", "at", F.least(F.size("keys"), F.lit(run)).alias("length"), joined.alias("key"))
-        .where(F.char_length("key") >= least)
-        .select(
-            "doc", "print", "at", "length",
-            F.xxhash64("key").alias("high"), F.xxhash64(F.lit(1), "key").alias("low"),
-        )
-    )
-    runs = save(runs, "runs")
+    return docs.select(
+        F.col("doc_id").cast("long"), own.alias("doc"), F.xxhash64("text").alias("print"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
+    )
+
+
+def covered_sentences(docs: DataFrame, rule: Spans = Spans()) -> DataFrame:
+    """``(doc, print, n_dropped, dropped)``: runs of sentences covered by repeated runs.
+
+    The first place of a run is that with the smallest ``doc_id``, then text hash, then
+    position; runs compare by their words with A-Z lower-cased. A row without id
+    counts as the largest id; ``print`` is a hash of the text, to tell apart rows that
+    repeat an id; repeated rows of id and text are one document. docs: ``doc_id`` and
+    ``text``.
+    """
+    kind = "doc long, print long, at int, length int, high long, low long"
+    runs = save(_prepared(docs).select("doc", "print", "text").mapInArrow(_listed(rule), kind), "runs")
     place = F.struct("doc", "print", "at")
     firsts = (
         runs.groupBy("high", "low")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where("first <> last")
-        .drop("last")
+        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places"))
+        .where("places > 1")
+        .drop("places")
     )
     covered = (
         runs.join(firsts, ["high", "low"])
         .where(place != F.col("first"))
-        .select(
-            "doc", "print",
-            F.explode(F.sequence("at", F.col("at") + F.col("length") - 1)).alias("at"),
-        )
+        .select("doc", "print", F.explode(F.sequence("at", F.col("at") + F.col("length") - 1)).alias("at"))
         .distinct()
     )
-    found = save(dropped_runs(covered).withColumnRenamed("doc", "doc_id"), "repeated")
+    found = save(dropped_runs(covered), "covered")
     discard(runs)
     return found
 
 
-def deduplicated_spans(docs: DataFrame, run: int = 3, least: int = 40) -> DataFrame:
+def _cut(rule: Spans):
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n_sentences", pa.int64()), ("n_dropped", pa.int64()), ("kept", pa.binary())]
+    )
+
+    def made(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for doc_id, text, dropped in rows(batches):
+            found = sentences(text, rule)
+            starts = np.append(0, found.offsets)
+            words = np.append(0, found.ends)
+            kept, last, gone = [], 0, 0
+            for run in dropped or ():
+                first, stop = run["start"], run["start"] + run["length"]
+                if words[stop] - words[first] >= rule.least_words:
+                    kept.append(text[last : starts[first]])
+                    last = starts[stop]
+                    gone += run["length"]
+            kept.append(text[last:])
+            yield doc_id, len(found.ends), gone, b"".join(kept)
+
+    return lambda batches: batched(made(batches), schema)
+
+
+def deduplicated_spans(docs: DataFrame, rule: Spans = Spans()) -> DataFrame:
     """``(doc_id, n_sentences, n_dropped, kept)``, a row for each row of ``docs``.
 
-    ``kept`` is the text without repeated sentences; a null text is empty.
+    ``kept`` is the text without covered stretches of at least ``rule.least_words``
+    words; see ``covered_sentences``. A null text is empty. A text of fewer words than
+    ``rule.run_words`` holds no run and stays whole. Texts of any length are read
+    whole, one at a time. Other columns are ignored; an empty table gives no rows.
     """
-    dropped = repeated_sentences(docs, run, least).withColumnRenamed("doc_id", "doc")
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    texts = docs.select(F.col("doc_id").cast("long"), "text", own.alias("doc"), F.xxhash64("text").alias("print"))
-    parts = sentences(F.col("text"))
-    return texts.join(dropped.hint("shuffle_hash"), ["doc", "print"], "left").select(
-        "doc_id",
-        F.size(parts).cast("long").alias("n_sentences"),
-        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("dropped").isNull(), F.coalesce("text", F.lit("")))
-        .otherwise(F.array_join(without(parts, F.col("dropped")), ""))
-        .alias("kept"),
+    covered = covered_sentences(docs, rule).select("doc", "print", "dropped")
+    kind = "doc_id long, n_sentences long, n_dropped long, kept binary"
+    return (
+        _prepared(docs)
+        .join(covered, ["doc", "print"], "left")
+        .select("doc_id", "text", "dropped")
+        .mapInArrow(_cut(rule), kind)
+        .withColumn("kept", F.col("kept").cast("string"))
     )

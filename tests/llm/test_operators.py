@@ -236,17 +236,82 @@ def test_kneser_ney_shares_sum_to_one(texts):
     assert total == pytest.approx(1.0, abs=1e-9)
 
 
+def plain_spans(docs, rule):
+    """The rule of repeated spans, word by word."""
+
+    def cut(text):
+        parts = re.findall(r"^\s*\S+\s*|\S+\s*", text, re.ASCII)
+        out, group = [], []
+        for part in parts:
+            group.append(part)
+            if part.rstrip()[-1] in ".!?" or "\n" in part[len(part.rstrip()) :] or part is parts[-1]:
+                short = len(group) <= rule.longest
+                unit = []
+                for i, word in enumerate(group):
+                    unit.append(word)
+                    marked = sum(map(ord, lowered(word.strip()))) % rule.cut_every == 0
+                    if i == len(group) - 1 or not short and marked:
+                        out.append(unit)
+                        unit = []
+                group = []
+        return out
+
+    def lowered(word):
+        return "".join(c.lower() if c.isascii() else c for c in word)
+
+    units = {(i, t or ""): cut(t or "") for i, t in docs}
+    order = sorted(units, key=lambda d: (d[0] is None, d[0] or 0))
+    seen, covered = {}, {d: set() for d in units}
+    for doc in order:
+        for at in range(len(units[doc])):
+            words, stop = [], at
+            while len(words) < rule.run_words and stop < len(units[doc]):
+                words += [lowered(w.strip()) for w in units[doc][stop]]
+                stop += 1
+            if len(words) >= rule.run_words and seen.setdefault(tuple(words), (doc, at)) != (doc, at):
+                covered[doc] |= set(range(at, stop))
+    kept = {}
+    for doc, parts in units.items():
+        text, n, at = "", 0, 0
+        while at < len(parts):
+            stop = at
+            while stop < len(parts) and stop in covered[doc]:
+                stop += 1
+            if sum(map(len, parts[at:stop])) >= rule.least_words:
+                n, at = n + stop - at, stop
+            else:
+                stop = max(stop, at + 1)
+                text, at = text + "".join(w for u in parts[at:stop] for w in u), stop
+        kept[doc] = (len(parts), n, text if n else doc[1])
+    return sorted(((i, *kept[(i, t or "")]) for i, t in docs), key=repr)
+
+
 def test_substring_dedup(texts):
-    parts = [sentence(i) + ". " for i in range(8)]
-    passage = "".join(parts[:4])
-    docs = texts((1, passage + parts[4]), (2, parts[5] + passage + parts[6]), (3, None), (4, ""), (5, passage), (6, "a. b. c. " * 2), (7, LONG), (1, passage + parts[4]))
-    got = {r.doc_id: r for r in substring.deduplicated_spans(docs).collect()}
-    assert got[1].kept == passage + parts[4]
-    assert got[2].kept == parts[5] + parts[6] and got[2].n_dropped == 4
-    assert got[5].kept == "" and got[3].kept == "" and got[7].kept == LONG
+    draw = random.Random(9)
+    passages = [". ".join(sentence(100 * k + j, draw.randint(3, 25)) for j in range(8)) + "." for k in range(4)]
+    docs = [(1, None), (2, ""), (3, " \n "), (4, LONG), (5, LONG + "x"), (None, passages[0]), (6, "a. b. c. " * 30)]
+    for i in range(10, 40):
+        passage = draw.choice(passages)
+        if i % 3 == 0:
+            words = passage.split()
+            first = draw.randrange(0, len(words) - 25)
+            passage = "\n".join(words[first : first + draw.randint(10, 60)]).upper()
+        docs.append((i, f"  {sentence(i, 5)} é{i} {passage} {sentence(-i, 30)} \n"))
+    docs += [docs[8], (8, docs[9][1])]
+    rule = substring.Spans()
+    got = substring.deduplicated_spans(texts(*docs), rule)
+    expected = plain_spans(docs, rule)
+    assert found(got, "doc_id", "n_sentences", "n_dropped", "kept") == expected
+    assert sum(1 for row in expected if row[2]) >= 15
     assert substring.deduplicated_spans(texts()).count() == 0
 
 
+def test_substring_dedup_leaves_short_repeats(texts):
+    line = "the same licence line of a dozen words stands in every file here. "
+    docs = texts(*((i, sentence(i, 40) + ". " + line + sentence(1000 + i, 40)) for i in range(1, 30)))
+    assert {r.n_dropped for r in substring.deduplicated_spans(docs).collect()} == {0}
+
+
 def test_mixing(texts):
     sizes = {"a": 3, "b": 400, None: 50}
     rows, sources = [], []
