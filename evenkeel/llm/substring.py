@@ -1,9 +1,10 @@
 """Substring dedup over sliding spans of sentences.
 
-Every run of consecutive sentences that holds enough words is hashed. The hashes of
-all documents meet in one aggregation that finds each repeated run's first place; the
-sentences of every other place of that run are covered, and covered stretches of
-enough words are removed. A long sentence is cut behind words that their own
+Every run of consecutive sentences that holds enough words is hashed. A task knows
+which runs its documents repeat among themselves, so a run goes to the others once for
+each batch of documents; ordered by hash and place they show each run's first place.
+The sentences of every other place are covered, and covered stretches of enough words
+are removed. A long sentence is cut behind words that their own
 characters mark, so that a passage is found wherever foreign text is glued to it.
 """
 
@@ -17,8 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.scratch import discard, save
-from evenkeel.llm.spans import dropped_runs
+from evenkeel.llm.scratch import save, settings
 from evenkeel.llm.text import batched, folded_words, rows, word_hashes
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -103,30 +103,86 @@ def _runs(found: Sentences, rule: Spans) -> tuple[np.ndarray, ...]:
         total = np.append(np.uint64(0), np.cumsum(mixed * _powers(step, len(mixed))[:-1], dtype=np.uint64))
         key = (total[stop] - total[start]) * _powers(pow(step, -1, 1 << 64), len(mixed))[start]
         key ^= key >> np.uint64(32)
-        keys.append((key * _MIX).view(np.int64))
-    return at, last[at] - at + 1, *keys
+        keys.append(key * _MIX)
+    # 96 bits tell runs apart.
+    return at, last[at] - at + 1, keys[0].view(np.int64), (keys[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+_RUN = "high long, low int, doc long, print long, at int, length int"
+_RUN_ARROW = pa.schema(
+    [("high", pa.int64()), ("low", pa.int32()), ("doc", pa.int64()), ("print", pa.int64()),
+     ("at", pa.int32()), ("length", pa.int32())]
+)
 
 
 def _listed(rule: Spans):
-    schema = pa.schema(
-        [("doc", pa.int64()), ("print", pa.int64()), ("at", pa.int32()), ("length", pa.int32()),
-         ("high", pa.int64()), ("low", pa.int64())]
-    )
+    """Runs of a batch of documents, each once: with its hash at the batch's first place.
+
+    At its other places it cannot be the first of all. These are merged to covered
+    stretches, with a negative length and a hash of their own.
+    """
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            texts = {(doc, mark): text for doc, mark, text in rows([batch])}
             parts: list[tuple] = []
-            for doc, mark, text in rows([batch]):
-                at, length, high, low = _runs(sentences(text, rule), rule)
-                parts.append((np.full(len(at), doc), np.full(len(at), mark), at, length, high, low))
-            if parts:
-                columns = [np.concatenate(c) for c in zip(*parts)]
-                arrays = [pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, schema)]
-                yield from pa.Table.from_arrays(arrays, schema=schema).to_batches(max_chunksize=1 << 15)
+            for number, key in enumerate(sorted(texts)):
+                at, length, high, low = _runs(sentences(texts[key], rule), rule)
+                doc, mark = (np.full(len(at), value) for value in key)
+                parts.append((high, low, doc, mark, at, length, np.full(len(at), number)))
+            if not parts:
+                continue
+            high, low, doc, mark, at, length, number = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort((low, high))
+            same = np.append(False, (np.diff(high[order]) == 0) & (np.diff(low[order]) == 0))[: len(order)]
+            again = np.sort(order[same])
+            # Runs of a document end in the order in which they begin.
+            stop = at + length
+            fresh = np.append(True, (np.diff(number[again]) != 0) | (at[again][1:] > stop[again][:-1]))[: len(again)]
+            first = again[fresh]
+            last = again[np.append(fresh[1:], True)[: len(again)]]
+            own = (doc[first] ^ mark[first]) * np.int64(_STEPS[1] >> 1) + at[first]
+            kept = order[~same]
+            columns = [
+                np.append(high[kept], own),
+                np.append(low[kept], np.zeros(len(first), dtype=np.int32)),
+                *(np.append(c[kept], c[first]) for c in (doc, mark, at)),
+                np.append(length[kept], at[first] - stop[last]),
+            ]
+            arrays = [pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, _RUN_ARROW)]
+            yield from pa.Table.from_arrays(arrays, schema=_RUN_ARROW).to_batches(max_chunksize=1 << 15)
 
     return made
 
 
+def _later(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All places of a run but its first, from rows ordered by hash and place, and covered stretches."""
+    carried = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        length = batch.column(5).to_numpy()
+        plain = length > 0
+        columns = [c.to_numpy()[plain] for c in batch.columns[:5]]
+        away = np.zeros(int(plain.sum()), dtype=bool)
+        if len(away):
+            if carried is not None:
+                columns = [np.append(first, c) for first, c in zip(carried, columns)]
+            same = (np.diff(columns[0]) == 0) & (np.diff(columns[1]) == 0)
+            start = np.maximum.accumulate(np.where(np.append(False, same), 0, np.arange(len(columns[0]))))
+            differs = np.zeros(len(start), dtype=bool)
+            for column in columns[2:]:
+                differs |= column != column[start]
+            carried = [c[start[-1]] for c in columns]
+            away = differs[-len(away) :]
+        gone = ~plain
+        gone[plain] = away
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(2), batch.column(3), batch.column(4), pa.array(np.abs(length))],
+            names=["doc", "print", "at", "length"],
+        ).filter(pa.array(gone))
+
+
 def _prepared(docs: DataFrame) -> DataFrame:
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
     return docs.select(
@@ -136,32 +192,39 @@ def _prepared(docs: DataFrame) -> DataFrame:
 
 
 def covered_sentences(docs: DataFrame, rule: Spans = Spans()) -> DataFrame:
-    """``(doc, print, n_dropped, dropped)``: runs of sentences covered by repeated runs.
+    """``(doc, print, covered)``: stretches ``(at, length)`` of sentences in repeated runs.
 
     The first place of a run is that with the smallest ``doc_id``, then text hash, then
     position; runs compare by their words with A-Z lower-cased. A row without id
     counts as the largest id; ``print`` is a hash of the text, to tell apart rows that
-    repeat an id; repeated rows of id and text are one document. docs: ``doc_id`` and
-    ``text``.
+    repeat an id; repeated rows of id and text are one document. Stretches are ordered
+    and may overlap. docs: ``doc_id`` and ``text``.
     """
-    kind = "doc long, print long, at int, length int, high long, low long"
-    runs = save(_prepared(docs).select("doc", "print", "text").mapInArrow(_listed(rule), kind), "runs")
-    place = F.struct("doc", "print", "at")
-    firsts = (
-        runs.groupBy("high", "low")
-        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places"))
-        .where("places > 1")
-        .drop("places")
-    )
-    covered = (
-        runs.join(firsts, ["high", "low"])
-        .where(place != F.col("first"))
-        .select("doc", "print", F.explode(F.sequence("at", F.col("at") + F.col("length") - 1)).alias("at"))
-        .distinct()
-    )
-    found = save(dropped_runs(covered), "covered")
-    discard(runs)
-    return found
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 24)}):
+        later = (
+            _prepared(docs)
+            .select("doc", "print", "text")
+            .mapInArrow(_listed(rule), _RUN)
+            .repartition("high")
+            .sortWithinPartitions("high", "low", "doc", "print", "at")
+            .mapInArrow(_later, "doc long, print long, at int, length int")
+        )
+        stretches = F.array_sort(F.collect_list(F.struct("at", "length")))
+        return save(later.groupBy("doc", "print").agg(stretches.alias("covered")), "covered", batch=4096)
+
+
+def _stretches(covered: Iterable[dict]) -> Iterator[tuple[int, int]]:
+    """Ordered stretches merged where they touch or overlap, as first sentence and end."""
+    first = stop = None
+    for part in covered:
+        if first is not None and part["at"] <= stop:
+            stop = max(stop, part["at"] + part["length"])
+            continue
+        if first is not None:
+            yield first, stop
+        first, stop = part["at"], part["at"] + part["length"]
+    if first is not None:
+        yield first, stop
 
 
 def _cut(rule: Spans):
@@ -170,17 +233,16 @@ def _cut(rule: Spans):
     )
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-        for doc_id, text, dropped in rows(batches):
+        for doc_id, text, covered in rows(batches):
             found = sentences(text, rule)
             starts = np.append(0, found.offsets)
             words = np.append(0, found.ends)
             kept, last, gone = [], 0, 0
-            for run in dropped or ():
-                first, stop = run["start"], run["start"] + run["length"]
+            for first, stop in _stretches(covered or ()):
                 if words[stop] - words[first] >= rule.least_words:
                     kept.append(text[last : starts[first]])
                     last = starts[stop]
-                    gone += run["length"]
+                    gone += stop - first
             kept.append(text[last:])
             yield doc_id, len(found.ends), gone, b"".join(kept)
 
@@ -195,12 +257,7 @@ def deduplicated_spans(docs: DataFrame, rule: Spans = Spans()) -> DataFrame:
     ``rule.run_words`` holds no run and stays whole. Texts of any length are read
     whole, one at a time. Other columns are ignored; an empty table gives no rows.
     """
-    covered = covered_sentences(docs, rule).select("doc", "print", "dropped")
+    covered = covered_sentences(docs, rule).select("doc", "print", "covered")
     kind = "doc_id long, n_sentences long, n_dropped long, kept binary"
-    return (
-        _prepared(docs)
-        .join(covered, ["doc", "print"], "left")
-        .select("doc_id", "text", "dropped")
-        .mapInArrow(_cut(rule), kind)
-        .withColumn("kept", F.col("kept").cast("string"))
-    )
+    joined = _prepared(docs).join(covered, ["doc", "print"], "left").select("doc_id", "text", "covered")
+    return save(joined.mapInArrow(_cut(rule), kind).withColumn("kept", F.col("kept").cast("string")), "kept")
