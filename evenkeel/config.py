@@ -51,6 +51,15 @@ class ColumnRoles:
         if both:
             raise ValueError(f"columns listed as numerical and categorical: {sorted(both)}")
 
+    @property
+    def targets(self) -> tuple[str, ...]:
+        return tuple(c for c in (self.target, self.prediction) if c)
+
+    @property
+    def columns(self) -> tuple[str, ...]:
+        """All columns of a report, each once."""
+        return tuple(dict.fromkeys((*self.numerical, *self.categorical, *self.targets)))
+
 
 @dataclass(frozen=True)
 class Window:

@@ -70,9 +70,15 @@ def confidence(probability: Column) -> Column:
     return F.array_max(vector_to_array(probability))
 
 
+def hash_draw(*columns: Column, seed: int, steps: int) -> Column:
+    """A number below ``steps`` from a seeded md5: always the same for a row, in any engine."""
+    text = F.concat_ws(":", *[c.cast("string") for c in columns], F.lit(str(seed)))
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"), F.lit(steps))
+
+
 def hash_percent(*columns: Column, seed: int) -> Column:
-    """0..99 from a seeded hash: the same row always gets the same number."""
-    return F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(100)).cast("int")
+    """0..99, always the same for a row."""
+    return hash_draw(*columns, seed=seed, steps=100).cast("int")
 
 
 def keep_map_keys(mapping: Column, keys: Sequence[str]) -> Column:

@@ -11,11 +11,13 @@ Input frames carry the flags ``in_ref`` and ``in_prod`` (see
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from evenkeel.config import ColumnRoles
 from evenkeel.operators.joins import LANES, task_number
 
 SIDES = ("ref", "prod")
@@ -23,7 +25,89 @@ MIN_BUCKETS = 256
 MAX_BUCKETS = 8192
 
 
-def _long(tagged: DataFrame, features: Sequence[str], kind: str) -> DataFrame:
+def _finite(column: Column) -> Column:
+    """A number as a double; values that are undefined or infinite count as missing."""
+    number = column.cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
+@dataclass(frozen=True)
+class Summary:
+    """Value counts that stand for the rows they were taken from.
+
+    ``counts``: rows of ``summarize`` with the flags ``in_ref`` and ``in_prod``. All
+    measures take a summary in place of tagged rows, and give the same results.
+    """
+
+    counts: DataFrame
+    features: tuple[str, ...]
+
+    @property
+    def sparkSession(self) -> SparkSession:  # noqa: N802
+        return self.counts.sparkSession
+
+    @property
+    def columns(self) -> list[str]:
+        return list(self.features)
+
+    def long(self, features: Sequence[str], kind: str) -> DataFrame:
+        if lacking := set(features) - set(self.features):
+            raise ValueError(f"no counts are stored for {sorted(lacking)}")
+        own, value = ("num", "number") if kind == "double" else ("cat", "category")
+        place = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature")) - 1
+        return self.counts.where((F.col("kind") == own) & F.col("feature").isin(list(features))).select(
+            place.cast("int").alias("feature"), F.col(value).alias("value"), "in_ref", "in_prod", "n"
+        )
+
+
+Tagged = DataFrame | Summary
+
+
+def summarize(df: DataFrame, roles: ColumnRoles, by: Sequence[str]) -> DataFrame:
+    """``(*by, feature, kind, number, category, n)``: how often each value occurs.
+
+    Counts of parts add up to those of the whole, so reports over any windows of the
+    ``by`` columns can be made from them. Combined in the map tasks; a column with few
+    distinct values leaves few rows however many there were.
+    """
+
+    def cell(name: str, numeric: bool) -> Column:
+        column = F.col(f"`{name}`")
+        none = F.lit(None)
+        return F.struct(
+            F.lit(name).alias("feature"),
+            F.lit("num" if numeric else "cat").alias("kind"),
+            (_finite(column) if numeric else none.cast("double")).alias("number"),
+            (none if numeric else column).cast("string").alias("category"),
+        )
+
+    numeric = {*roles.numerical, *(roles.targets if roles.target_is_numeric else ())}
+    cells = [cell(c, c in numeric) for c in roles.columns]
+    long = df.select(*by, F.inline(F.array(*cells)))
+    return long.groupBy(*by, "feature", "kind", "number", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rows(tagged: Tagged, flag: str) -> Column:
+    """The number of rows with a flag."""
+    if isinstance(tagged, Summary):
+        return F.sum(F.when(F.col(flag), F.col("n")).otherwise(F.lit(0).cast("long")))
+    return F.count_if(flag)
+
+
+def infinite_values(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, dataset, n_infinite)``: infinite values, which other measures count as missing."""
+    sides = [
+        F.count_if(F.col(f"in_{s}") & (F.abs(F.col(f"`{c}`").cast("double")) == F.lit(float("inf")))).alias(f"{s}_{i}")
+        for i, c in enumerate(features) for s in SIDES
+    ]
+    rows = [
+        F.struct(F.lit(c).alias("feature"), F.lit(s).alias("dataset"), F.col(f"{s}_{i}").alias("n_infinite"))
+        for i, c in enumerate(features) for s in SIDES
+    ]
+    return tagged.agg(*sides).select(F.inline(F.array(*rows)))
+
+
+def _long(tagged: Tagged, features: Sequence[str], kind: str) -> DataFrame:
     """One row per row and feature: ``feature``, ``value``, ``in_ref``, ``in_prod``.
 
     A feature is a number, its place in ``features``: shorter to shuffle and
@@ -34,9 +118,12 @@ def _long(tagged: DataFrame, features: Sequence[str], kind: str) -> DataFrame:
     in one query are the same, and the input would be read and shuffled twice.
     """
 
+    if isinstance(tagged, Summary):
+        return tagged.long(features, kind)
+
     def value(name: str) -> Column:
-        column = F.col(f"`{name}`").cast(kind)
-        return F.when(~F.isnan(column), column) if kind == "double" else column
+        column = F.col(f"`{name}`")
+        return _finite(column) if kind == "double" else column.cast(kind)
 
     cells = tagged.select(
         *[
@@ -57,7 +144,7 @@ def named(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumn("feature", F.get(names, F.col("feature")))
 
 
-def value_counts(tagged: DataFrame, features: Sequence[str], kind: str) -> DataFrame:
+def value_counts(tagged: Tagged, features: Sequence[str], kind: str) -> DataFrame:
     """Rows per (feature, value) in either slice; missing values are a null value.
 
     ``kind`` is ``double`` for numeric features and ``string`` for categories.
@@ -65,7 +152,7 @@ def value_counts(tagged: DataFrame, features: Sequence[str], kind: str) -> DataF
     return (
         _long(tagged, features, kind)
         .groupBy("feature", "value")
-        .agg(F.count_if("in_ref").alias("n_ref"), F.count_if("in_prod").alias("n_prod"))
+        .agg(_rows(tagged, "in_ref").alias("n_ref"), _rows(tagged, "in_prod").alias("n_prod"))
     )
 
 
@@ -90,7 +177,7 @@ def with_totals(counts: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(totals(counts)), "feature")
 
 
-def default_buckets(df: DataFrame) -> int:
+def default_buckets(df: Tagged) -> int:
     """A power of two, some four times the number of shuffle partitions."""
     wanted = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = MIN_BUCKETS
@@ -117,7 +204,7 @@ def _search(df: DataFrame, bounds: str, value: str, size: int) -> DataFrame:
     return df
 
 
-def quantile_bounds(tagged: DataFrame, features: Sequence[str], buckets: int) -> DataFrame:
+def quantile_bounds(tagged: Tagged, features: Sequence[str], buckets: int) -> DataFrame:
     """Approximate quantiles of each feature, from a mergeable sketch: one row
     per feature, null bounds where it has no value."""
     accuracy = min(16 * buckets, 65535)
@@ -144,7 +231,7 @@ def quantile_bounds(tagged: DataFrame, features: Sequence[str], buckets: int) ->
 
 
 def cumulative(
-    tagged: DataFrame, features: Sequence[str], buckets: int | None = None
+    tagged: Tagged, features: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
     """Numeric value counts with running totals over the sorted values of a feature.
 
@@ -221,7 +308,7 @@ def _bucket_starts(placed: DataFrame) -> DataFrame:
     )
 
 
-def numeric_edges(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
+def numeric_edges(tagged: Tagged, features: Sequence[str]) -> DataFrame:
     """Lowest and highest value of each feature over both slices: one row each."""
     return (
         _long(tagged, features, "double")
@@ -230,7 +317,7 @@ def numeric_edges(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
-def histogram(tagged: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
+def histogram(tagged: Tagged, features: Sequence[str], bins: int = 10) -> DataFrame:
     """Rows per feature, slice and bin; both slices share ``bins`` equal-width bins."""
     edges = F.broadcast(numeric_edges(tagged, features))
     width = F.col("high") - F.col("low")
@@ -241,7 +328,7 @@ def histogram(tagged: DataFrame, features: Sequence[str], bins: int = 10) -> Dat
         .where(F.col("value").isNotNull())
         .join(edges, "feature")
         .groupBy("feature", bucket.alias("bucket"), "low", "high")
-        .agg(F.count_if("in_ref").alias("n_ref"), F.count_if("in_prod").alias("n_prod"))
+        .agg(_rows(tagged, "in_ref").alias("n_ref"), _rows(tagged, "in_prod").alias("n_prod"))
     )
     lower = F.col("low") + (F.col("bucket") - 1) * (F.col("high") - F.col("low")) / bins
     sides = by_side(
@@ -251,7 +338,7 @@ def histogram(tagged: DataFrame, features: Sequence[str], bins: int = 10) -> Dat
     return named(sides, features)
 
 
-def category_shares(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
+def category_shares(tagged: Tagged, features: Sequence[str]) -> DataFrame:
     """Rows and share per feature, slice and category."""
     counts = value_counts(tagged, features, "string").where(F.col("value").isNotNull())
     sides = by_side(counts.withColumnRenamed("value", "category"), ["feature", "category"])

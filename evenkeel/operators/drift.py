@@ -17,7 +17,7 @@ SMALLEST_SPREAD = 0.001
 
 
 def numeric_statistics(
-    tagged: DataFrame, features: Sequence[str], buckets: int | None = None
+    tagged: dist.Tagged, features: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
     """Kolmogorov-Smirnov and normalized Wasserstein distance per numeric feature.
 
@@ -52,7 +52,7 @@ def numeric_statistics(
     )
 
 
-def category_statistics(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
+def category_statistics(tagged: dist.Tagged, features: Sequence[str]) -> DataFrame:
     """Chi-square homogeneity, two-proportion z and Jensen-Shannon per feature.
 
     The chi-square compares both slices with their pooled shares, so a category
@@ -120,7 +120,7 @@ def _decided(df: DataFrame) -> DataFrame:
 
 
 def _numeric_scores(
-    tagged: DataFrame, features: Sequence[str], method: str, buckets: int | None
+    tagged: dist.Tagged, features: Sequence[str], method: str, buckets: int | None
 ) -> DataFrame:
     name, score = {
         "test": ("ks", "ks_p_value"),
@@ -134,7 +134,7 @@ def _numeric_scores(
     )
 
 
-def _category_scores(tagged: DataFrame, features: Sequence[str], method: str) -> DataFrame:
+def _category_scores(tagged: dist.Tagged, features: Sequence[str], method: str) -> DataFrame:
     stats = category_statistics(tagged, features)
     if method == "distance":
         name, score = F.lit("js"), F.col("js_distance")
@@ -151,7 +151,7 @@ def _category_scores(tagged: DataFrame, features: Sequence[str], method: str) ->
 
 
 def feature_drift(
-    tagged: DataFrame,
+    tagged: dist.Tagged,
     numerical: Sequence[str] = (),
     categorical: Sequence[str] = (),
     method: str = "test",
@@ -187,7 +187,7 @@ def _signed(df: DataFrame, project: str, model: str, as_of: str | Column | None)
 
 
 def dataset_drift(
-    tagged: DataFrame,
+    tagged: dist.Tagged,
     roles: ColumnRoles,
     project: str,
     model: str,
@@ -205,7 +205,7 @@ def dataset_drift(
 
 
 def label_drift(
-    tagged: DataFrame,
+    tagged: dist.Tagged,
     roles: ColumnRoles,
     project: str,
     model: str,
@@ -232,7 +232,7 @@ def label_drift(
     )
 
 
-def drift_report(tagged: DataFrame, roles: ColumnRoles, bins: int = 10) -> DataFrame:
+def drift_report(tagged: dist.Tagged, roles: ColumnRoles, bins: int = 10) -> DataFrame:
     """The distributions behind a drift report: bins of numeric features and
     targets, categories of the others, per slice with counts and shares."""
     targets = tuple(c for c in (roles.target, roles.prediction) if c and c in tagged.columns)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.config import DATE, KEY, PAY_AMOUNT_COLUMNS, Window
-from evenkeel.functions.expressions import cast_all, parse_date, recode_marriage
+from evenkeel.functions.expressions import hash_draw, cast_all, parse_date, recode_marriage
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -86,5 +86,5 @@ def sample_rows(df: DataFrame, fraction: float, key: str = KEY, seed: int = 0) -
     if fraction == 1.0:
         return df
     steps = 1_000_000
-    draw = F.pmod(F.xxhash64(F.col(f"`{key}`"), F.lit(seed)), F.lit(steps))
+    draw = hash_draw(F.col(f"`{key}`"), seed=seed, steps=steps)
     return df.where(draw < int(fraction * steps))

@@ -75,7 +75,7 @@ def _numeric_row(s: str) -> Column:
 
 
 def numeric_profile(
-    tagged: DataFrame, features: Sequence[str], buckets: int | None = None
+    tagged: dist.Tagged, features: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
     """Profile of numeric columns; quartiles are exact and interpolated."""
     ranked = dist.cumulative(tagged, features, buckets)
@@ -88,7 +88,7 @@ def numeric_profile(
     ).select(*_COLUMNS)
 
 
-def category_profile(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
+def category_profile(tagged: dist.Tagged, features: Sequence[str]) -> DataFrame:
     """Profile of categorical columns."""
     counts = dist.value_counts(tagged, features, "string")
     value = F.col("value")
@@ -127,7 +127,7 @@ def category_profile(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
     ).select(*_COLUMNS)
 
 
-def quality_profile(tagged: DataFrame, roles: ColumnRoles, buckets: int | None = None) -> DataFrame:
+def quality_profile(tagged: dist.Tagged, roles: ColumnRoles, buckets: int | None = None) -> DataFrame:
     """One row per column and slice."""
     targets = tuple(c for c in (roles.target, roles.prediction) if c and c in tagged.columns)
     numeric = roles.numerical + (targets if roles.target_is_numeric else ())

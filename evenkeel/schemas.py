@@ -97,6 +97,28 @@ CONCLUSION = _struct(
     ("conclusion", _S),
 )
 
+SCORECARD = _struct(
+    ("model_name", _S),
+    ("version", _L),
+    ("position", _I),
+    ("feature", _S),
+    ("mean", _D),
+    ("scale", _D),
+    ("weight", _D),
+)
+
+CERTIFICATE = _struct(
+    ("feature", _S),
+    ("position", _I),
+    ("n_rows", _L),
+    ("mean", _D),
+    ("scale", _D),
+    ("weight", _D),
+    ("gradient", _D),
+    ("start_gradient", _D),
+    ("objective", _D),
+)
+
 RUNS = _struct(("run_id", _S), ("source_data", _S))
 
 FAIR_METRICS_DOCUMENT = T.MapType(_S, T.MapType(_S, T.ArrayType(_D)))
