@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # A key with at least one row in HOT_SHARE is hot. The sketch may take a key of
@@ -114,3 +115,48 @@ def orphans(base: DataFrame, features: DataFrame, keys: Sequence[str]) -> DataFr
     keys = list(keys)
     known = features.select(*keys).distinct()
     return base.select(*keys).distinct().join(known, keys, "left_anti")
+
+
+def look_up_as_of(
+    base: DataFrame,
+    features: DataFrame,
+    names: Sequence[str],
+    key: str,
+    base_date: str,
+    feature_date: str,
+    salts: int = SALTS,
+    hot: Sequence | None = None,
+) -> DataFrame:
+    """``base`` with ``names`` and ``feature_date`` of its key's newest row not after ``base_date``.
+
+    A left join: a row without key, without date or without an earlier feature row gets
+    nulls. Of feature rows of one key and date the largest by ``names`` counts; those
+    without key or date count for nothing. Both sides are stacked, sorted once by key
+    and date, and the last feature row is carried along, so no pair of rows that does
+    not belong together is ever made. Rows of a hot key are dealt out with a salt and
+    its feature rows are repeated per salt.
+    """
+    hot = hot_keys(base, key) if hot is None else hot
+    spread = _among(key, hot) | F.col(f"`{key}`").isNull()
+    records = _salted(base, spread, "_salt", salts).select(
+        F.col(f"`{key}`").alias("_key"),
+        "_salt",
+        F.col(f"`{base_date}`").cast("timestamp_ntz").alias("_at"),
+        F.lit(1).alias("_side"),
+        F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("_row"),
+    )
+    dated = features.where(F.col(f"`{key}`").isNotNull() & F.col(f"`{feature_date}`").isNotNull())
+    found = F.struct(F.col(f"`{feature_date}`"), *[F.col(f"`{c}`") for c in names])
+    known = _repeated(dated, _among(key, hot), "_salt", salts).select(
+        F.col(f"`{key}`").alias("_key"),
+        "_salt",
+        F.col(f"`{feature_date}`").cast("timestamp_ntz").alias("_at"),
+        F.lit(0).alias("_side"),
+        found.alias("_found"),
+    )
+    order = W.partitionBy("_key", "_salt").orderBy("_at", "_side", "_found")
+    running = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    carried = F.last("_found", ignorenulls=True).over(running)
+    dated_row = F.col("_key").isNotNull() & F.col("_at").isNotNull()
+    joined = records.unionByName(known, allowMissingColumns=True).withColumn("_found", F.when(dated_row, carried))
+    return joined.where("_side = 1").select("_row.*", "_found.*")

@@ -39,6 +39,7 @@ from evenkeel.session import scratch_path
 from evenkeel.sources import tables
 from evenkeel.sources.credit import credit_view, labelled_documents, table
 from evenkeel.streaming.append import stream_new_data
+from evenkeel.streaming.deployments import read_history, stream_history, stream_quarantine
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -499,6 +500,56 @@ def deployment_gate(spark: SparkSession, sf: str) -> DataFrame:
     return history_rows.drop("run_ts")
 
 
+def _segment_gate(spark: SparkSession, sf: str) -> Callable[[DataFrame], DataFrame]:
+    """Gates events by the stored fairness of their segment's newest version."""
+    path = scratch_path(spark, "segment-fairness")
+    tables.overwrite(_fairness_by_segment(spark, sf), path)
+    newest = table(spark, sf, "customer").groupBy("c_mktsegment").agg(F.max("c_custkey").alias("version"))
+    own = F.col("c_mktsegment")
+    model_versions = newest.select(own.alias("model_name"), "version", F.lit("Staging").alias("stage"), own.alias("run_id"))
+    return lambda events: gate_deployments(events, model_versions, tables.read(spark, path))
+
+
+def _deployment_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Events of all customers, and lines that are none."""
+    customers = table(spark, sf, "customer")
+    event = F.struct(
+        F.concat(F.lit("event-"), F.col("c_custkey")).alias("event_id"),
+        F.timestamp_seconds(F.lit(1669852800) + F.col("c_custkey") % 86400).alias("event_ts"),
+        F.col("c_mktsegment").alias("model_name"),
+        F.col("c_custkey").cast("string").alias("version"),
+        F.col("c_name").alias("text"),
+        F.concat(F.lit("hook-"), F.col("c_nationkey")).alias("webhook_id"),
+    )
+    broken = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("broken "), F.col("c_name"))).otherwise(
+        F.concat(F.lit('{"model_name":"'), F.col("c_mktsegment"), F.lit('"}'))
+    )
+    return customers.select("c_custkey", F.to_json(event).alias("value")), customers.select(broken.alias("value"))
+
+
+@query
+def deployment_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Deployment events as a stream, most of them sent twice, gated and read back."""
+    events, broken = _deployment_lines(spark, sf)
+    root = scratch_path(spark, "deployments")
+    gate = _segment_gate(spark, sf)
+    for sent in (events.where("c_custkey % 3 <> 0").select("value"), events.select("value").union(broken)):
+        sent.write.mode("append").text(f"{root}/incoming")
+        stream_history(spark, f"{root}/incoming", f"{root}/history", f"{root}/checkpoint", gate).awaitTermination()
+    return read_history(spark, f"{root}/history").drop("run_ts")
+
+
+@query
+def deployment_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of the stream that are no event, counted with the reason."""
+    events, broken = _deployment_lines(spark, sf)
+    root = scratch_path(spark, "quarantine")
+    for sent in (broken, events.select("value")):
+        sent.write.mode("append").text(f"{root}/incoming")
+        stream_quarantine(spark, f"{root}/incoming", f"{root}/lines", f"{root}/checkpoint").awaitTermination()
+    return tables.read(spark, f"{root}/lines").groupBy("event_message", "reason").agg(F.count("*").alias("n_lines"))
+
+
 @query
 def metric_doc(spark: SparkSession, sf: str) -> DataFrame:
     """Fairness results written as JSON documents and read back."""
@@ -591,6 +642,53 @@ def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_snapshot(spark, path)
 
 
+def _published(spark: SparkSession, sf: str, name: str) -> str:
+    """Raw and clean records as versions 1 and 2, and a third one that was never finished."""
+    path = scratch_path(spark, name)
+    records = credit_view(spark, sf).select(KEY, "MARRIAGE", "AGE")
+    tables.publish_version(records, path, 1)
+    tables.publish_version(prepare.clean(records), path, 2)
+    records.where("AGE > 30").write.parquet(f"{path}/data/000000000003-unfinished")
+    return path
+
+
+@query
+def published_newest(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.read_version(spark, _published(spark, sf, "published-newest"))
+
+
+@query
+def published_pinned(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.read_version(spark, _published(spark, sf, "published-pinned"), 1)
+
+
+@query
+def schema_history(spark: SparkSession, sf: str) -> DataFrame:
+    """What three versions of the credit table changed, and how many rows have the newest schema."""
+    path = scratch_path(spark, "schemas")
+    records = credit_view(spark, sf).select(KEY, "SEX", "AGE", "LIMIT_BAL")
+    tables.publish_version(records, path, 1)
+    tables.publish_version(records.drop("SEX").withColumn("AGE", F.col("AGE").cast("double")), path, 2)
+    tables.publish_version(
+        records.withColumns({"LIMIT_BAL": F.col("LIMIT_BAL").cast("int"), "score": F.lit(1)}), path, 3
+    )
+    n_rows = tables.read_version(spark, path).agg(F.count("score").alias("n_rows"))
+    return tables.schema_history(spark, path).withColumn("n_rows", F.lit(n_rows.first()[0]).cast("long"))
+
+
+@query
+def features_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """For two dates of each client the newest order up to then, with gaps and ties."""
+    seen = F.date_add(F.to_date(F.lit("1995-01-01")), F.col("day").cast("int"))
+    base = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias(KEY), F.explode(F.array(F.col("c_custkey") * 37 % 2000, F.col("c_custkey") * 37 % 2000 + 300)).alias("day")
+    ).select(KEY, seen.alias("seen_on"))
+    orders = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias(KEY), F.col("o_orderdate").cast("date").alias("feature_date"), "o_totalprice", "o_orderkey"
+    )
+    return joins.look_up_as_of(base, orders, ("o_totalprice", "o_orderkey"), KEY, "seen_on", "feature_date")
+
+
 @query
 def catalog_append(spark: SparkSession, sf: str) -> DataFrame:
     """Drift rows of two runs appended to a catalog table."""
@@ -661,6 +759,33 @@ def saved_run(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(conclusion.join(tables.read(spark, f"{root}/runs"), "run_id"), ["value"])
 
 
+def _saved_run(spark: SparkSession, sf: str, name: str) -> str:
+    root = scratch_path(spark, name)
+    path = scratch_path(spark, "scored")
+    tables.overwrite(clean_credit(spark, sf).withColumn("probability", F.col("score") / 100), path)
+    history.save_run(root, RUN, "clean/credit", **training.audit_scored(tables.read(spark, path), RUN))
+    return root
+
+
+@query
+def saved_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """A run's fairness and performance read back from its tables."""
+    root = _saved_run(spark, sf, "saved-metrics")
+    fairness = tables.read(spark, f"{root}/fairness").where(F.col("model_run_id") == RUN)
+    performance = tables.read(spark, f"{root}/perf").where(F.col("run_id") == RUN)
+    both = fairness.select("protected_var", "metric", F.col("parity").alias("value")).unionByName(
+        performance.select("metric", "value"), allowMissingColumns=True
+    )
+    return rounded(both, ["value"])
+
+
+@query
+def saved_tradeoff(spark: SparkSession, sf: str) -> DataFrame:
+    """A run's thresholds read back from its table."""
+    root = _saved_run(spark, sf, "saved-tradeoff")
+    return rounded(tables.read(spark, f"{root}/tradeoff").drop("run_id"), ["balanced_accuracy"])
+
+
 @query
 def unscored_baseline(spark: SparkSession, sf: str) -> DataFrame:
     monitor = Monitor(spark, scratch_path(spark, "unscored"), PROJECT, MODEL)

@@ -772,6 +772,37 @@ def statements() -> dict[str, str]:
         f"{_REF} AS in_ref, {_PROD} AS in_prod FROM credit "
         f"WHERE ({_REF} OR {_PROD}) AND ('0x' || substr(md5(USER_ID::VARCHAR || ':0'), 1, 15))::BIGINT % 1000000 < 300000"
     )
+    out["deployment_stream"] = out["deployment_gate"]
+    out["deployment_quarantine"] = (
+        "SELECT event_message, CASE WHEN event_message LIKE 'broken%' THEN 'lacks event_id, event_ts, model_name' "
+        "ELSE 'lacks event_id, event_ts' END AS reason, count(*) AS n_lines FROM (SELECT CASE WHEN c_custkey % 2 = 0 "
+        "THEN 'broken ' || c_name ELSE '{\"model_name\":\"' || c_mktsegment || '\"}' END AS event_message FROM customer) "
+        "GROUP BY event_message"
+    )
+    out["published_newest"] = _credit("SELECT USER_ID, MARRIAGE, AGE FROM credit")
+    out["published_pinned"] = _credit("SELECT USER_ID, MARRIAGE, AGE FROM raw")
+    out["schema_history"] = (
+        "SELECT changes.*, n_rows FROM (VALUES (2::BIGINT, 'SEX', 'missing', 'int', NULL), "
+        "(2, 'AGE', 'widened', 'int', 'double'), (3, 'SEX', 'added', NULL, 'int'), (3, 'score', 'added', NULL, 'int'), "
+        "(3, 'AGE', 'retyped', 'double', 'int'), (3, 'LIMIT_BAL', 'retyped', 'double', 'int')) "
+        "AS changes(\"version\", \"column\", change, old_type, new_type), (SELECT count(*) AS n_rows FROM customer)"
+    )
+    out["features_as_of"] = """
+WITH base AS (
+  SELECT c_custkey AS USER_ID, DATE '1995-01-01' + CAST(c_custkey * 37 % 2000 + later AS INTEGER) AS seen_on
+  FROM customer, (SELECT unnest([0, 300]) AS later)
+), met AS (
+  SELECT USER_ID, seen_on, CAST(o_orderdate AS DATE) AS feature_date, o_totalprice, o_orderkey, row_number() OVER (
+    PARTITION BY USER_ID, seen_on ORDER BY CAST(o_orderdate AS DATE) DESC, o_totalprice DESC, o_orderkey DESC) AS k
+  FROM base LEFT JOIN orders ON o_custkey = USER_ID AND CAST(o_orderdate AS DATE) <= seen_on
+)
+SELECT USER_ID, seen_on, feature_date, o_totalprice, o_orderkey FROM met WHERE k = 1
+"""
+    out["saved_metrics"] = (
+        f"SELECT protected_var, metric, parity AS \"value\" FROM ({out['fairness_long']}) "
+        f"UNION ALL SELECT NULL, metric, \"value\" FROM ({out['perf_values']})"
+    )
+    out["saved_tradeoff"] = out["tradeoff"]
     out["registered_baseline"] = _registered()
     out["fit_certificate"] = _certified()
     out["train_test_split"] = _credit(f"SELECT USER_ID, {_SPLIT} AS split FROM credit")

@@ -119,6 +119,15 @@ CERTIFICATE = _struct(
     ("objective", _D),
 )
 
+# The version is the marker's partition.
+MANIFEST = _struct(("version", _L), ("folder", _S), ("schema", _S))
+
+DEPLOYMENT_EVENT = _struct(
+    ("event_id", _S),
+    ("event_ts", T.TimestampType()),
+    *[(f.name, f.dataType) for f in REGISTRY_EVENT.fields],
+)
+
 RUNS = _struct(("run_id", _S), ("source_data", _S))
 
 FAIR_METRICS_DOCUMENT = T.MapType(_S, T.MapType(_S, T.ArrayType(_D)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,6 +15,7 @@ from evenkeel import schemas
 
 FORMAT = "parquet"
 SNAPSHOT = "snapshot_id"
+WIDER = {("int", "bigint"), ("int", "double"), ("bigint", "double"), ("float", "double")}
 
 
 def read_csv(
@@ -150,6 +153,64 @@ def read_snapshot(spark: SparkSession, path: str, snapshot_id: int | None = None
     return table.where(F.col(SNAPSHOT) == wanted)
 
 
+def publish_version(df: DataFrame, path: str, version: int) -> None:
+    """Store a numbered version of a table and then make it known by a one-row marker.
+
+    Until the marker is written nobody reads the files, so a writer that fails leaves
+    the table as it was. Publishing a number again replaces its marker; files that no
+    marker names any longer stay behind for readers that hold them.
+    """
+    spark = df.sparkSession
+    folder = f"{version:012d}-{uuid.uuid4().hex[:12]}"
+    df.write.format(FORMAT).save(f"{path}/data/{folder}")
+    marker = spark.createDataFrame([(version, folder, df.schema.json())], schemas.MANIFEST)
+    replace_partitions(marker, f"{path}/manifest", ["version"])
+
+
+def published_versions(spark: SparkSession, path: str) -> DataFrame:
+    """``(folder, schema, version)`` of all published versions; no data file is touched."""
+    return spark.read.schema(schemas.MANIFEST).format(FORMAT).load(f"{path}/manifest")
+
+
+def newest_version(spark: SparkSession, path: str) -> int | None:
+    return published_versions(spark, path).agg(F.max("version")).first()[0]
+
+
+def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A pinned version, or the newest one: only its own files, under its own schema."""
+    known = published_versions(spark, path)
+    wanted = newest_version(spark, path) if version is None else version
+    found = known.where(F.col("version") == F.lit(wanted)).take(1)
+    if not found:
+        raise ValueError(f"{path} has no published version" + (f" {version}" if version is not None else ""))
+    declared = T.StructType.fromJson(json.loads(found[0]["schema"]))
+    return spark.read.schema(declared).format(FORMAT).load(f"{path}/data/{found[0].folder}")
+
+
+def schema_history(spark: SparkSession, path: str) -> DataFrame:
+    """``(version, column, change, old_type, new_type)``: what each version changed from the one before.
+
+    ``widened`` is a change that older rows can be read under (int to long or double,
+    float to double, anything to string); other changes of type are ``retyped``. Made
+    from the markers: a row per version reaches the driver.
+    """
+    known = sorted(published_versions(spark, path).collect(), key=lambda row: row.version)
+    changes = []
+    for before, after in zip(known, known[1:]):
+        old, new = (
+            {f.name: f.dataType.simpleString() for f in T.StructType.fromJson(json.loads(row["schema"]))}
+            for row in (before, after)
+        )
+        changes += [(after.version, c, "added", None, new[c]) for c in new if c not in old]
+        changes += [(after.version, c, "missing", old[c], None) for c in old if c not in new]
+        for c in old:
+            if c in new and old[c] != new[c]:
+                kind = "widened" if (old[c], new[c]) in WIDER or new[c] == "string" else "retyped"
+                changes.append((after.version, c, kind, old[c], new[c]))
+    kind = "version long, column string, change string, old_type string, new_type string"
+    return spark.createDataFrame(changes, kind)
+
+
 def recreate_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     create_database(spark, name, location)
