@@ -127,6 +127,23 @@ def training_set(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def stored_training_set(spark: SparkSession, sf: str) -> DataFrame:
+    """The training set from tables stored in buckets of the client: joined without a shuffle."""
+    database = "evenkeel_features"
+    tables.recreate_database(spark, database, scratch_path(spark, "features"))
+    source = scratch_path(spark, "clean_credit")
+    tables.overwrite(clean_credit(spark, sf), source)
+    records = tables.read(spark, source)
+    base = features.training_base(records)
+    features.create_feature_table(spark, f"{database}.base", base, buckets=8, description="Clients to train on")
+    lookups = []
+    for name, made in (("unmet", features.num_paym_unmet), ("met", features.num_paym_met)):
+        features.create_feature_table(spark, f"{database}.{name}", made(records), buckets=8, description=f"Payments {name}")
+        lookups.append(FeatureLookup(f"{database}.{name}", (f"NUM_PAYM_{name.upper()}",)))
+    return features.create_training_set(spark.table(f"{database}.base"), lookups, exclude=(KEY,), skewed=False)
+
+
 @query
 def feature_orphans(spark: SparkSession, sf: str) -> DataFrame:
     """Clients of the whole table that features of the reference window lack."""

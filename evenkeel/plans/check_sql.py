@@ -772,6 +772,7 @@ def statements() -> dict[str, str]:
         f"{_REF} AS in_ref, {_PROD} AS in_prod FROM credit "
         f"WHERE ({_REF} OR {_PROD}) AND ('0x' || substr(md5(USER_ID::VARCHAR || ':0'), 1, 15))::BIGINT % 1000000 < 300000"
     )
+    out["stored_training_set"] = out["training_set"]
     out["deployment_stream"] = out["deployment_gate"]
     out["deployment_quarantine"] = (
         "SELECT event_message, CASE WHEN event_message LIKE 'broken%' THEN 'lacks event_id, event_ts, model_name' "

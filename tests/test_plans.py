@@ -49,6 +49,18 @@ def test_history_is_limited_before_the_shuffle(spark, small):
     assert re.search(r"WindowGroupLimit \[o_custkey.*Partial", plan)
 
 
+def test_bucketed_tables_meet_without_a_shuffle(spark, small):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = catalog.stored_training_set(spark, small)
+        plan = executed(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+    assert df.count() == catalog.credit_view(spark, small).count()
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_query_joins_without_keys(spark, small, name):
     """Only built, not run: storage queries write when they are built."""
