@@ -9,6 +9,7 @@ will do. Equal payloads are stored once: the others are revisit records.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -149,22 +150,40 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     return files.select("content").mapInArrow(_parsed(payloads), _CHUNK_TYPE)
 
 
+_OWN_ID = re.compile(r"<urn:page:(-?\d+)(?:[:.][\d.]+)?>")
+
+
+def _page(name: str | None) -> int | None:
+    """The page id in a record id that this writer made; ids of others hold none."""
+    own = _OWN_ID.fullmatch(name or "")
+    return int(own[1]) if own else None
+
+
+def _hex_digest(declared: str | None) -> str | None:
+    """A declared SHA-1 as lower-case hex, also from base32; None for other algorithms."""
+    kind, _, value = (declared or "").partition(":")
+    if kind.lower() != "sha1":
+        return None
+    return base64.b32decode(value.upper()).hex() if len(value) == 32 else value.lower()
+
+
 def _parsed(payloads: bool):
     def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for (content,) in rows(batches):
             for fields, piece in _stream(content):
                 name = fields.get("warc-segment-origin-id", fields["warc-record-id"])
-                page = name.strip("<>").split(":")[2]
                 segment = fields.get("warc-segment-number")
-                refers_to = fields.get("warc-refers-to")
+                if fields.get("content-type", "").startswith("application/http") and segment in (None, "1"):
+                    # The payload follows the head of the HTTP message.
+                    piece = piece.partition(_END)[2]
                 yield (
                     name,
-                    int(page) if page else None,
+                    _page(name),
                     int(segment or 1) - 1,
                     segment is not None,
                     fields["warc-type"],
-                    int(refers_to.strip("<>").split(":")[2]) if refers_to else None,
-                    fields.get("warc-payload-digest", "").removeprefix("sha1:") or None,
+                    _page(fields.get("warc-refers-to")),
+                    _hex_digest(fields.get("warc-payload-digest")),
                     len(piece),
                     hashlib.sha1(piece).hexdigest(),
                     piece if payloads or segment else None,
@@ -174,30 +193,37 @@ def _parsed(payloads: bool):
 
 
 def _stream(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of each record; holds one chunk at a time."""
+    """Header fields and block of each record; holds one chunk at a time.
+
+    An archive may be one gzip member, one for each record, or anything between.
+    """
     engine = zlib.decompressobj(31)
-    held, start = bytearray(), 0
+    held, fed, start = bytearray(), b"", 0
 
     def more() -> bool:
-        nonlocal start
-        if engine.eof or start >= len(content) and not engine.unconsumed_tail:
-            return False
-        fed = engine.unconsumed_tail
+        nonlocal engine, fed, start
         if not fed:
             fed = content[start : start + (1 << 16)]
             start += 1 << 16
+            if not fed:
+                if content and not engine.eof:
+                    raise ValueError("an archive ends inside a gzip member")
+                return False
+        if engine.eof:
+            engine = zlib.decompressobj(31)
         held.extend(engine.decompress(fed, 1 << 18))
+        fed = engine.unused_data if engine.eof else engine.unconsumed_tail
         return True
 
     while True:
         while (end := held.find(_END)) < 0 and more():
             pass
         if end < 0:
-            if held:
+            if held.strip():
                 raise ValueError("an archive ends inside a record header")
             return
         lines = held[:end].decode().split("\r\n")
-        fields = {k.lower(): v for k, _, v in (line.partition(": ") for line in lines[1:])}
+        fields = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
         length = int(fields["content-length"])
         body = end + len(_END)
         while len(held) < body + length + len(_END) and more():
@@ -209,12 +235,13 @@ def _stream(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` of all records.
+    """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` of all responses and revisits.
 
     Digests are computed from the payloads read: chunks of a segmented record meet
     in order and one running digest goes over them. A revisit gets the length of
     the record it refers to. A payload whose digest differs from the declared one
-    is an error.
+    is an error; one without a declared SHA-1 is taken as it is. Records whose id
+    another writer made have no ``page_id``; other kinds of records are passed over.
     """
     parsed = read_archives(spark, path, payloads=False)
     chunks = save(parsed, "chunks", batch=1)
@@ -225,12 +252,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         .sortWithinPartitions("record_id", "chunk_no")
         .mapInArrow(_joined, _WHOLE_TYPE)
     )
-    found = whole.unionByName(joined)
+    found = whole.unionByName(joined).where("record_type in ('response', 'revisit')")
     wrong = F.concat(F.lit("payload digest differs in "), F.col("record_id"))
     checked = found.withColumn(
         "digest",
         F.when(F.col("record_type") == "revisit", F.col("declared"))
-        .when(F.col("digest") == F.col("declared"), F.col("digest"))
+        .when(F.col("declared").isNull() | (F.col("digest") == F.col("declared")), F.col("digest"))
         .otherwise(F.raise_error(wrong)),
     )
     responses = (

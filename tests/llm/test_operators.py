@@ -1,3 +1,5 @@
+import base64
+import gzip
 import hashlib
 import random
 import re
@@ -5,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.errors import PythonException
 
 from evenkeel.llm import (
     decontaminate,
@@ -389,3 +392,36 @@ def test_warc_round_trip(spark, tmp_path):
     chunks = warc.read_archives(spark, str(tmp_path / "a")).where("page_id = 5")
     assert chunks.agg({"bytes": "max"}).first()[0] <= warc.CHUNK and chunks.where("segmented").count() > 2
     assert warc.archived(table.limit(0), str(tmp_path / "b")).count() == 0
+
+
+def warc_record(number, body, kind="response", **fields):
+    named = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{number}>", "Content-Type": "text/html"}
+    named |= {k.replace("_", "-"): v for k, v in fields.items()} | {"Content-Length": str(len(body))}
+    return ("WARC/1.0\r\n" + "".join(f"{k}:{v}\r\n" for k, v in named.items()) + "\r\n").encode() + body + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("members", ["each", "pairs", "one"])
+def test_archives_of_other_writers(spark, tmp_path, members):
+    bodies = [b"", b"hello", b"z" * 300_000, "né".encode()]
+    http = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n"
+    base32 = "sha1:" + base64.b32encode(hashlib.sha1(b"page").digest()).decode()
+    records = [warc_record("info", b"software: x\r\n", "warcinfo")]
+    records += [warc_record(i, body) for i, body in enumerate(bodies)]
+    records += [
+        warc_record("h", http + b"page", Content_Type="application/http; msgtype=response", WARC_Payload_Digest=base32),
+        warc_record("r", b"", "revisit", WARC_Payload_Digest=base32, WARC_Refers_To="<urn:uuid:h>"),
+        warc_record("q", b"GET / HTTP/1.1\r\n\r\n", "request"),
+    ]
+    size = {"each": 1, "pairs": 2, "one": len(records)}[members]
+    data = b"".join(gzip.compress(b"".join(records[i : i + size])) for i in range(0, len(records), size))
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    assert warc.read_archives(spark, str(tmp_path)).count() == len(records)
+    digests = [hashlib.sha1(body).hexdigest() for body in bodies]
+    got = found(warc.read_records(spark, str(tmp_path)), "record_type", "payload_digest", "payload_bytes", "page_id")
+    page = hashlib.sha1(b"page").hexdigest()
+    expected = [("response", d, len(b), None) for d, b in zip(digests, bodies)]
+    expected += [("response", page, 4, None), ("revisit", page, None, None)]
+    assert got == sorted(expected, key=repr)
+    (tmp_path / "a.warc.gz").write_bytes(data[:-20])
+    with pytest.raises(PythonException, match="archive ends inside"):
+        warc.read_archives(spark, str(tmp_path)).collect()
