@@ -93,9 +93,12 @@ def look_up(
         by_key.setdefault(tuple(lookup.lookup_key), []).append(features)
     joined = base
     for keys, frames in by_key.items():
-        if skewed and len(keys) == 1:
+        kinds = {tuple(f.schema[k].dataType for k in keys) for f in (joined, *frames)}
+        # Keys of several columns are salted by a hash, which types must agree on.
+        if skewed and (len(keys) == 1 or len(kinds) == 1):
             # Looking up by unique keys repeats no row, so the base tells what is hot.
-            joined = look_up_by_key(joined, frames, keys[0], hot=hot_keys(base, keys[0]))
+            key = keys[0] if len(keys) == 1 else keys
+            joined = look_up_by_key(joined, frames, key, hot=hot_keys(base, key))
         else:
             for features in frames:
                 joined = joined.join(features, list(keys), "left")

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from evenkeel import schemas
 from evenkeel.config import FAIRNESS_METRICS
 from evenkeel.functions.expressions import keep_map_keys
-from evenkeel.operators.joins import look_up_by_key
+from evenkeel.operators.joins import look_up_checked
 from evenkeel.sources.tables import parse_json, replace_partitions
 
 
@@ -105,7 +105,7 @@ def deployment_rows(events: DataFrame, gate: DataFrame, run_ts: Column | None =
     per_run = checks.groupBy("run_id").agg(
         F.collect_set(F.struct("protected_var", "parity_check")).alias("checks")
     )
-    joined = look_up_by_key(events, [per_run], "run_id").select(
+    joined = look_up_checked(events, per_run, "run_id").select(
         *events.columns, F.inline_outer("checks")
     )
     joined = joined.withColumn("run_ts", when)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -14,6 +15,8 @@ HOT_SHARE = 100
 HOT_LIMIT = 128
 SALTS = 256
 LANES = 512
+# A looked-up table of at most so many rows is broadcast.
+SMALL_ROWS = 100_000
 _TRACKED = 4096
 
 
@@ -26,8 +29,16 @@ def task_number(modulo: int) -> Column:
     return F.pmod(F.spark_partition_id(), F.lit(modulo))
 
 
-def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys holding about 1 % of the rows or more: at most 128 values.
+def _code(keys: str | Sequence[str]) -> Column:
+    """What stands for a key in sketches: the column, or a hash of several; null if one is null."""
+    if isinstance(keys, str):
+        return F.col(f"`{keys}`")
+    whole = reduce(Column.__and__, [F.col(f"`{k}`").isNotNull() for k in keys])
+    return F.when(whole, F.xxhash64(*[F.col(f"`{k}`") for k in keys]))
+
+
+def hot_keys(df: DataFrame, key: str | Sequence[str]) -> list:
+    """Keys holding about 1 % of the rows or more: at most 128 values, hashes for several columns.
 
     One pass with a frequent-items sketch over the key column, whose error is
     below 0.1 % of the rows. The sketches of the tasks are combined in lanes
@@ -35,13 +46,12 @@ def hot_keys(df: DataFrame, key: str) -> list:
     wrongly costs a few copies. The values come to the driver at once: both sides
     of a join must treat the same keys as hot, so they are found only once.
     """
-    column = f"`{key}`"
     lanes = (
-        df.select(key, task_number(LANES).alias("lane"))
+        df.select(_code(key).alias("code"), task_number(LANES).alias("lane"))
         .groupBy("lane")
         .agg(
-            F.expr(f"approx_top_k_accumulate({column}, {_TRACKED})").alias("sketch"),
-            F.count(key).alias("n"),
+            F.expr(f"approx_top_k_accumulate(code, {_TRACKED})").alias("sketch"),
+            F.count("code").alias("n"),
         )
     )
     # Grouped by a constant: without a grouping, a task that gets no lane would
@@ -53,8 +63,8 @@ def hot_keys(df: DataFrame, key: str) -> list:
     return [row[0] for row in found.where(hot).select("top.item").collect()]
 
 
-def _among(key: str, hot: Sequence) -> Column:
-    return F.coalesce(F.col(f"`{key}`").isin(list(hot)), F.lit(False)) if hot else F.lit(False)
+def _among(key: str | Sequence[str], hot: Sequence) -> Column:
+    return F.coalesce(_code(key).isin(list(hot)), F.lit(False)) if hot else F.lit(False)
 
 
 def _salted(df: DataFrame, spread: Column, salt: str, salts: int) -> DataFrame:
@@ -72,25 +82,43 @@ def _repeated(df: DataFrame, spread: Column, salt: str, salts: int) -> DataFrame
 def look_up_by_key(
     left: DataFrame,
     rights: Sequence[DataFrame],
-    key: str,
+    key: str | Sequence[str],
     salts: int = SALTS,
     hot: Sequence | None = None,
 ) -> DataFrame:
     """``left`` with the columns of tables that hold each key at most once.
 
+    A key of several columns is salted by its hash; their types must agree on all sides.
+
     A left join. Rows of a hot key of ``left`` get a salt as a second join key,
     and the one matching row of each table is repeated per salt; rows without a
     key are spread as well. ``left`` is shuffled once however many tables follow.
     ``hot`` names the hot keys where they are known already.
     """
+    columns = [key] if isinstance(key, str) else list(key)
+    kinds = [left.schema[c].dataType for c in columns]
+    for right in rights:
+        if len(columns) > 1 and [right.schema[c].dataType for c in columns] != kinds:
+            raise ValueError(f"the types of {columns} differ between the tables")
     hot = hot_keys(left, key) if hot is None else hot
-    joined = _salted(left, _among(key, hot) | F.col(f"`{key}`").isNull(), "_salt", salts)
+    joined = _salted(left, _among(key, hot) | _code(key).isNull(), "_salt", salts)
     for right in rights:
         copies = _repeated(right, _among(key, hot), "_salt", salts)
-        joined = joined.join(copies, [key, "_salt"], "left")
+        joined = joined.join(copies, [*columns, "_salt"], "left")
     return joined.drop("_salt")
 
 
+def look_up_checked(left: DataFrame, right: DataFrame, key: str, most: int = SMALL_ROWS) -> DataFrame:
+    """``look_up_by_key``, but a ``right`` of at most ``most`` rows is broadcast.
+
+    For tables that are small by nature, such as one row per model or run. Then neither
+    are hot keys searched nor is ``left`` shuffled; a larger table is joined as usual.
+    """
+    if right.limit(most + 1).count() <= most:
+        return left.join(F.broadcast(right), key, "left")
+    return look_up_by_key(left, [right], key)
+
+
 def balanced_join(left: DataFrame, right: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
     """Inner join on ``key`` where either side may have hot keys.
 

@@ -693,6 +693,28 @@ def schema_history(spark: SparkSession, sf: str) -> DataFrame:
     return tables.schema_history(spark, path).withColumn("n_rows", F.lit(n_rows.first()[0]).cast("long"))
 
 
+@query
+def ingested(spark: SparkSession, sf: str) -> DataFrame:
+    """Two CSV files stacked, stored raw, cleaned and stored again."""
+    root = scratch_path(spark, "ingested")
+    records = credit_view(spark, sf).select(*schemas.CREDIT.fieldNames())
+    for part in (0, 1):
+        records.where(F.col(KEY) % 2 == part).write.option("header", True).csv(f"{root}/raw_{part}")
+    return tables.read(spark, training.ingest(spark, [f"{root}/raw_0", f"{root}/raw_1"], root))
+
+
+@query
+def composite_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines with the price and quantity summary of their part and supplier, a key of two columns."""
+    lines = table(spark, sf, "lineitem")
+    keys = ("l_partkey", "l_suppkey")
+    summary = lines.groupBy(*keys).agg(
+        F.count("*").alias("n_lines"), F.sum(F.col("l_quantity").cast("decimal(20,2)")).cast("double").alias("quantity")
+    ).where("n_lines > 1")
+    base = lines.select("l_orderkey", "l_linenumber", *keys)
+    return features.look_up(base, [FeatureLookup(summary, ("n_lines", "quantity"), keys)])
+
+
 @query
 def features_as_of(spark: SparkSession, sf: str) -> DataFrame:
     """For two dates of each client the newest order up to then, with gaps and ties."""

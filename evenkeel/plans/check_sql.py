@@ -772,6 +772,12 @@ def statements() -> dict[str, str]:
         f"{_REF} AS in_ref, {_PROD} AS in_prod FROM credit "
         f"WHERE ({_REF} OR {_PROD}) AND ('0x' || substr(md5(USER_ID::VARCHAR || ':0'), 1, 15))::BIGINT % 1000000 < 300000"
     )
+    out["ingested"] = _credit(f"SELECT {_CSV_COLUMNS} FROM credit")
+    out["composite_lookup"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, n_lines, quantity FROM lineitem LEFT JOIN (
+  SELECT l_partkey, l_suppkey, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(20,2))) AS DOUBLE) AS quantity
+  FROM lineitem GROUP BY l_partkey, l_suppkey HAVING count(*) > 1) USING (l_partkey, l_suppkey)
+"""
     out["stored_training_set"] = out["training_set"]
     out["deployment_stream"] = out["deployment_gate"]
     out["deployment_quarantine"] = (

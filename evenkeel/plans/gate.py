@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from evenkeel.operators import fairness as fair
 from evenkeel.operators import history, versions
-from evenkeel.operators.joins import look_up_by_key
+from evenkeel.operators.joins import look_up_checked
 
 
 def gate_deployments(
@@ -31,5 +31,5 @@ def gate_deployments(
     )
     checked = fair.parity_gate(current, mode)
     runs = newest.select("model_name", "run_id")
-    with_run = look_up_by_key(parsed, [runs], "model_name")
+    with_run = look_up_checked(parsed, runs, "model_name")
     return history.deployment_rows(with_run, checked, run_ts)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.config import KEY, LABEL, PREDICTION, PROTECTED, FeatureLookup, Protected
 from evenkeel.operators import fairness as fair
-from evenkeel.operators import features, history, model, performance
+from evenkeel.operators import features, history, model, performance, prepare
 from evenkeel.operators.tradeoff import probability_bins, tradeoff
 from evenkeel.session import scratch_path
 from evenkeel.sources import tables
@@ -34,6 +35,13 @@ class Audit:
         )
 
 
+def ingest(spark: SparkSession, paths: Sequence[str], root: str) -> str:
+    """CSV files to the raw table ``bronze`` and the clean table ``silver``; returns the latter's path."""
+    tables.overwrite(tables.read_csv(spark, paths), f"{root}/bronze")
+    tables.overwrite(prepare.clean(tables.read(spark, f"{root}/bronze")), f"{root}/silver")
+    return f"{root}/silver"
+
+
 def payment_lookups(records: DataFrame) -> list[FeatureLookup]:
     """Both payment features, computed for the records at hand."""
     return [

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from evenkeel import schemas
-from evenkeel.config import ColumnRoles, Window
+from evenkeel.config import ColumnRoles, FeatureLookup, Window
 from evenkeel.functions import expressions as ex
 from evenkeel.operators import features, joins, outcomes, prepare
 from evenkeel.sources import tables
@@ -236,3 +236,27 @@ def test_csv_header_is_checked(spark, tmp_path):
     wrong = spark.createDataFrame([(1, 2)], "a int, z int").schema
     with pytest.raises(Exception):
         tables.read_csv(spark, str(tmp_path / "c.csv"), wrong).collect()
+
+
+def test_hot_keys_of_several_columns(spark):
+    base = [(1, "a", i) for i in range(400)] + [(i, "b", i) for i in range(50)] + [(None, "a", 1), (1, None, 2)]
+    known = [(1, "a", 10), (2, "b", 20), (1, "b", 30), (None, "a", 40)]
+    left = spark.createDataFrame(base, "x int, y string, n int").repartition(4)
+    right = spark.createDataFrame(known, "x int, y string, v int")
+    assert len(joins.hot_keys(left, ("x", "y"))) >= 1
+    got = features.look_up(left, [FeatureLookup(right, ("v",), ("x", "y"))])
+    values = {(x, y): v for x, y, v in known if x is not None}
+    assert rows(got, "x", "y", "n", "v") == sorted(((x, y, n, values.get((x, y))) for x, y, n in base), key=repr)
+    # Keys of other types are joined too, but not salted.
+    wide = right.withColumn("x", F.col("x").cast("long"))
+    assert features.look_up(left, [FeatureLookup(wide, ("v",), ("x", "y"))]).where("v = 10").count() == 400
+    with pytest.raises(ValueError, match="types"):
+        joins.look_up_by_key(left, [wide], ("x", "y"))
+
+
+@pytest.mark.parametrize("most", [1, 100])
+def test_small_tables_are_broadcast(spark, most):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, t string")
+    right = spark.createDataFrame([(1, 10), (3, 30)], "k int, v int")
+    got = joins.look_up_checked(left, right, "k", most)
+    assert rows(got, "k", "t", "v") == [(1, "a", 10), (2, "b", None), (None, "c", None)]
