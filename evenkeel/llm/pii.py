@@ -39,7 +39,7 @@ _PROPOSALS = (
         rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+ ?(?:\[at\]|\(at\)) ?{_LABEL}(?: ?(?:\.|\[dot\]|\(dot\)) ?{_LABEL})++",
         "at",
     ),
-    ("phone", False, r"(?<![0-9+.(-])(?<![0-9] )(?:00[1-9]|0|\([0-9]{2,4}\))[0-9 ()/-]{6,18}+(?![0-9])", None),
+    ("phone", False, r"(?<![0-9+.(-])(?<![0-9] )(?:00[1-9]|0|\([0-9]{2,4}\))(?:[ ()/-]{0,3}+[0-9]){6,15}+(?![0-9])", None),
     ("phone", False, r"(?<![0-9+.(-])(?<![0-9] )[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])", None),
 )
 
@@ -65,7 +65,7 @@ _AGAINST = {
 }
 
 _LABELERS = ("check", "gazetteer", "context", "edges")
-_FEATURES = ("digits", "length", "left", "right", "marks")
+_FEATURES = ("digits", "length", "left", "right", "marks", "said")
 
 
 @dataclass(frozen=True)
@@ -201,6 +201,7 @@ def _spans(docs: DataFrame) -> DataFrame:
         left.alias("left"),
         right.alias("right"),
         F.least(F.char_length(F.regexp_replace("value", r"[\w ]", "")), F.lit(4)).cast("int").alias("marks"),
+        F.coalesce(context, F.lit(2)).alias("said"),
     )
 
 
@@ -262,15 +263,15 @@ def personal_data(docs: DataFrame, supervision: Supervision = Supervision()) ->
     """``(doc_id, kind, start, end, base, chance)``: each span of personal data.
 
     Positions count code points, ``end`` exclusive. ``base`` spans come from the
-    strict patterns and pass their kind's check; further spans do not overlap one
-    and have a ``chance`` of at least ``supervision.accept``. A null text has none;
+    strict patterns and pass their kind's check; further spans do not overlap one, do
+    not fail their kind's check, and have a ``chance`` of at least ``supervision.accept``. A null text has none;
     repeated rows of id and text count once (``print``, a hash of the text, tells
     apart rows that repeat only the id). docs: ``doc_id`` and ``text``.
     """
     spark = docs.sparkSession
     spans = save(_spans(docs), "spans")
     columns = ["kind", *_LABELERS, *_FEATURES]
-    # At most 4 kinds x 3**4 votes x 8 x 8 x 3 x 3 x 5 features, whatever the input.
+    # At most 4 kinds x 3**4 votes x 8 x 8 x 3 x 3 x 5 x 3 features, whatever the input.
     counts = {tuple(r)[:-1]: float(r[-1]) for r in spans.groupBy(*columns).count().collect()}
     patterns: dict = defaultdict(float)
     for key, n in counts.items():
@@ -289,10 +290,11 @@ def personal_data(docs: DataFrame, supervision: Supervision = Supervision()) ->
     after = F.min(F.when(F.col("base"), F.col("start"))).over(
         per_text.rowsBetween(1, Window.unboundedFollowing)
     )
+    sound = F.coalesce(F.col("check") == 1, F.lit(True))
     free = F.coalesce(before <= F.col("start"), F.lit(True)) & F.coalesce(after >= F.col("end"), F.lit(True))
     return (
         judged.withColumn("free", free)
-        .where(F.col("base") | (F.col("free") & (F.col("chance") >= supervision.accept)))
+        .where(F.col("base") | (F.col("free") & sound & (F.col("chance") >= supervision.accept)))
         .select("doc_id", "print", "kind", "start", "end", "base", "chance")
     )
 
