@@ -263,8 +263,8 @@ def personal_data(docs: DataFrame, supervision: Supervision = Supervision()) ->
     """``(doc_id, kind, start, end, base, chance)``: each span of personal data.
 
     Positions count code points, ``end`` exclusive. ``base`` spans come from the
-    strict patterns and pass their kind's check; further spans do not overlap one, do
-    not fail their kind's check, and have a ``chance`` of at least ``supervision.accept``. A null text has none;
+    strict patterns and pass their kind's check; further spans do not overlap one, have
+    neither their kind's check nor the words before them against them, and have a ``chance`` of at least ``supervision.accept``. A null text has none;
     repeated rows of id and text count once (``print``, a hash of the text, tells
     apart rows that repeat only the id). docs: ``doc_id`` and ``text``.
     """
@@ -290,7 +290,7 @@ def personal_data(docs: DataFrame, supervision: Supervision = Supervision()) ->
     after = F.min(F.when(F.col("base"), F.col("start"))).over(
         per_text.rowsBetween(1, Window.unboundedFollowing)
     )
-    sound = F.coalesce(F.col("check") == 1, F.lit(True))
+    sound = F.coalesce(F.col("check") == 1, F.lit(True)) & F.coalesce(F.col("context") == 1, F.lit(True))
     free = F.coalesce(before <= F.col("start"), F.lit(True)) & F.coalesce(after >= F.col("end"), F.lit(True))
     return (
         judged.withColumn("free", free)
