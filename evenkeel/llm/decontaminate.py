@@ -2,9 +2,9 @@
 
 The n-grams of all test items go into a Bloom filter of fixed size. One pass over
 the training texts keeps the passages around n-grams that pass it, with a margin as
-long as the longest item, so no text is read again. The exact join on n-grams then
-gives each n-gram's frequency over all texts; n-grams that are common for their item
-are no seeds. Every passage and item that share a seed are aligned word by word,
+long as the longest item, so no text is read again. Each n-gram's passages are then
+counted over all texts, and n-grams that are common for their item are no seeds; only
+seeds join passages to items. Every passage and item that share a seed are aligned word by word,
 which also scores copies with words changed, left out or put in.
 """
 
@@ -28,6 +28,9 @@ _FOLD = bytes.maketrans(
     (string.ascii_uppercase + string.punctuation).encode(),
     (string.ascii_lowercase + " " * len(string.punctuation)).encode(),
 )
+# Seeds (two numbers each) and bytes of items that are broadcast; more are shuffled.
+_FEW = 1 << 19
+_SMALL = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -80,7 +83,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, alignment: Alignment = A
     ``score`` is the best alignment's share of a perfect one, at least
     ``alignment.share``; ``start`` and ``end`` count the document's words. A null or
     blank text or item contains and is found nowhere; items shorter than a seed are
-    found by all their words. Repeated rows count once. docs: ``doc_id, text``;
+    found by all their words. A passage with several items gives a row for each.
+    Of equal scores in one document the first place counts, then the longest.
+    Repeated rows count once; a very long text is cut into its passages. docs: ``doc_id, text``;
     benchmark: ``item_id, text``; other columns are not read.
     """
     spark = docs.sparkSession
@@ -106,25 +111,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, alignment: Alignment = A
         .withColumn("passage", F.xxhash64("doc_id", "start", "words")),
         "passages",
     )
-    hits = (
-        passages.select("passage", F.explode("grams").alias("gram"))
-        .distinct()
-        .join(grams, "gram")
+    # How many passages hold a gram is known before any passage meets an item.
+    held_grams = passages.select("passage", F.explode("grams").alias("gram")).distinct()
+    found = save(
+        held_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("passages")).join(grams, "gram"), "found"
     )
-    hits = save(hits, "hits")
-    # A gram stands once for each item that holds it.
-    frequency = hits.groupBy("gram", "item").agg(F.count(F.lit(1)).alias("passages"))
-    usual = frequency.groupBy("item").agg(F.percentile_approx("passages", 0.5).alias("usual"))
-    seeds = (
-        frequency.join(usual, "item")
+    usual = found.groupBy("item").agg(F.percentile_approx("passages", 0.5).alias("usual"))
+    seeds = save(
+        found.join(usual, "item")
         .where(F.col("passages") <= F.col("usual") * alignment.common)
-        .select("gram", "item")
+        .select("gram", "item"),
+        "seeds",
     )
-    pairs = hits.join(seeds, ["gram", "item"]).select("passage", "item").distinct()
+    few = seeds.limit(_FEW + 1).count() <= _FEW
+    pairs = held_grams.join(F.broadcast(seeds) if few else seeds, "gram").select("passage", "item")
+    wanted = items.select("item", "item_id", F.col("words").alias("wanted"))
+    small = (items.agg(F.sum(F.octet_length("words") + 32)).first()[0] or 0) <= _SMALL
     sides = (
-        pairs.join(passages.select("passage", "doc_id", "start", "words"), "passage")
+        pairs.distinct()
+        .join(passages.select("passage", "doc_id", "start", "words"), "passage")
         .dropDuplicates(["passage", "item"])
-        .join(items.select("item", "item_id", F.col("words").alias("wanted")), "item")
+        .join(F.broadcast(wanted) if small else wanted, "item")
         .select("doc_id", "start", "words", "item_id", "wanted")
     )
     aligned = save(
@@ -133,8 +140,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, alignment: Alignment = A
         ),
         "aligned",
     )
-    for table in (items, passages, hits):
+    for table in (items, passages, found, seeds):
         discard(table)
+    held.destroy()
     best = F.max(F.struct("score", -F.col("start"), F.col("end")))
     return (
         aligned.groupBy("doc_id", "item_id")

@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -177,6 +178,50 @@ def test_decontaminate_finds_edited_copies(spark, texts):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontaminate_two_items_in_one_passage(spark, texts):
+    first, second = sentence(7, 30), sentence(8, 30)
+    docs = texts((1, sentence(1, 20) + f" {first} {second} " + sentence(2, 20)), (2, second))
+    bench = spark.createDataFrame([(1, first), (2, second), (3, first)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.score, r.start, r.end) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {(1, 1, 1.0, 20, 50), (1, 3, 1.0, 20, 50), (1, 2, 1.0, 50, 80), (2, 2, 1.0, 0, 30)}
+
+
+@pytest.mark.parametrize("bound", [1 << 19, 0])
+def test_decontaminate_equals_every_document_with_every_item(spark, monkeypatch, bound):
+    """Brute force: no seeds, no filter; bounds of zero take the ways without broadcasts."""
+    monkeypatch.setattr(decontaminate, "_FEW", bound)
+    monkeypatch.setattr(decontaminate, "_SMALL", bound)
+    folder = "/root/testdata/sf0.001"
+    docs, bench = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "benchmark"))
+    drop = string.punctuation
+
+    def words(text):
+        return "".join(" " if c in drop else c for c in (text or "").lower()).split()
+
+    a = decontaminate.Alignment()
+    items = {r.item_id: words(r.text) for r in bench.collect()}
+    expected = set()
+    for row in docs.collect():
+        text = words(row.text)
+        held = set(text)
+        for item_id, item in items.items():
+            # A score of half the perfect one needs half of the item's words.
+            if sum(w in held for w in item) * 2 < len(item):
+                continue
+            scores, best = [0] * (len(text) + 1), 0
+            for w in item:
+                new = [0]
+                for j, v in enumerate(text, 1):
+                    step = scores[j - 1] + (a.match if v == w else a.mismatch)
+                    new.append(max(0, step, scores[j] + a.gap, new[-1] + a.gap))
+                scores = new
+                best = max(best, max(scores))
+            if best / (a.match * len(item)) >= a.share:
+                expected.add((row.doc_id, item_id, best / (a.match * len(item))))
+    found = {(r.doc_id, r.item_id, r.score) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert found == expected and expected
+
+
 def test_alignment_equals_plain_loops():
     draw = np.random.default_rng(1)
     a = decontaminate.Alignment()
