@@ -147,6 +147,24 @@ def test_exact_duplicates(texts):
     assert fingerprints.exact_duplicates(texts()).count() == 0
 
 
+def test_huge_texts_are_hashed_in_slices(texts, monkeypatch):
+    """Slices of any size give what whole texts give, also with repeated rows and white space."""
+    pairs = [(1, LONG), (2, LONG.replace(" ", "\n ")), (3, LONG + "x"), (4, "a" * 300), (5, "a" * 299 + " a"), (4, "a" * 300), (6, None)]
+    columns = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    whole = found(fingerprints.exact_duplicates(texts(*pairs)), *columns)
+    monkeypatch.setattr(fingerprints, "HUGE", 1 << 8)
+    assert found(fingerprints.exact_duplicates(texts(*pairs)), *columns) == whole
+    assert [r[:2] for r in whole] == [(1, 2), (2, 2), (3, 3), (4, 5), (4, 5), (5, 5), (6, 6)]
+
+
+@pytest.mark.parametrize("share", [1, 1 << 20])
+def test_groups_by_broadcast_and_by_shuffle(texts, monkeypatch, share):
+    monkeypatch.setattr(fingerprints, "_SHARE", share)
+    docs = texts(*((i, "ab" if i % 3 else str(i)) for i in range(30)), (None, "ab"))
+    got = found(fingerprints.exact_duplicates(docs), "doc_id", "keep_id", "group_size")
+    assert (7, 1, 21) in got and (3, 3, 1) in got and len(got) == 31
+
+
 def test_equal_fingerprints_of_unequal_texts(texts, monkeypatch):
     # With a modulus of 1, every text of a length has the same fingerprint.
     monkeypatch.setattr(fingerprints, "PRIMES", (1, 1))
