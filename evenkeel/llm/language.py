@@ -3,8 +3,10 @@
 Per language, 4-grams of folded characters are counted over all training texts.
 Discounts, continuation counts and back-off weights follow from them in Spark;
 what is left per order is a sorted array of n-gram hashes with a number for each
-language. A text gets the language of lowest cross-entropy per character, and a
-score from the margin to the second, calibrated on training texts.
+language that has the gram. A text gets the language of lowest cross-entropy per
+character, and a score from the margin to the second. It is rejected if its
+cross-entropy is far above what texts of that language and length have. Margin and
+cross-entropy are calibrated on an eighth of the training texts, which the counts leave out.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.calibration import logistic
@@ -31,6 +33,12 @@ _MIX = 0x9E3779B97F4A7C15
 # Longer texts are taken in parts, whose first characters see no earlier ones.
 _PART = 1 << 20
 _HELD_GRAMS = 1 << 21
+# One in so many training texts (by hash, so copies go together) calibrates and is not counted.
+_ASIDE = 8
+# Calibrating texts farther out than all but this part of them are as foreign as the rejected.
+_OUTLIERS = 0.001
+# Above the cut, a cross-entropy of so many deviations more is rejected at the latest.
+_SLACK = 4.0
 
 _FOLDS: list[np.ndarray] = []
 
@@ -71,13 +79,17 @@ def _slot(codes: np.ndarray) -> np.ndarray:
     return (codes * np.uint64(_MIX)) >> np.uint64(64 - _SLOT_BITS)
 
 
+# Sorted hashes, where the numbers of each begin, and the language and value of every number.
+Table = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
 @dataclass(frozen=True)
 class Models:
-    """Languages in code point order; per order sorted hashes and a row of numbers each."""
+    """Languages in code point order; per order sorted hashes, each with numbers of some languages."""
 
     languages: tuple[str, ...]
-    shares: tuple[tuple[np.ndarray, np.ndarray], ...]  # orders 1 to 4: discounted shares
-    weights: tuple[tuple[np.ndarray, np.ndarray], ...]  # contexts of 0 to 3: back-off weights
+    shares: tuple[Table, ...]  # orders 1 to 4: discounted shares
+    weights: tuple[Table, ...]  # contexts of 0 to 3: back-off weights
     symbols: int
 
     def parts(self) -> tuple:
@@ -89,20 +101,25 @@ class Models:
         for order in range(1, ORDER + 1):
             gram = codes & np.uint64((1 << 16 * order) - 1) if order < ORDER else codes
             context = gram >> np.uint64(16)
-            p = _looked_up(self.shares[order - 1], gram, 0.0) + p * _looked_up(
-                self.weights[order - 1], context, 1.0
+            width = len(self.languages)
+            p = _looked_up(self.shares[order - 1], gram, 0.0, width) + p * _looked_up(
+                self.weights[order - 1], context, 1.0, width
             )
         return np.log(np.maximum(p, 1e-12))
 
 
-def _looked_up(table: tuple[np.ndarray, np.ndarray], codes: np.ndarray, absent: float) -> np.ndarray:
-    hashes, values = table
-    found = np.full((len(codes), values.shape[1]), absent)
+def _looked_up(table: Table, codes: np.ndarray, absent: float, width: int) -> np.ndarray:
+    hashes, starts, langs, values = table
+    found = np.full((len(codes), width), absent)
     if len(hashes):
         slots = _slot(codes)
         at = np.minimum(np.searchsorted(hashes, slots), len(hashes) - 1)
-        there = hashes[at] == slots
-        found[there] = values[at[there]]
+        there = np.flatnonzero(hashes[at] == slots)
+        first = starts[at[there]]
+        size = starts[at[there] + 1] - first
+        # The numbers of one hash lie side by side.
+        place = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+        found[np.repeat(there, size), langs[place]] = values[place]
     return found
 
 
@@ -185,8 +202,8 @@ def learn(docs: DataFrame) -> Models:
     shares, weights = [], []
     for order in range(1, ORDER + 1):
         share, weight = _discounted(tables[order])
-        shares.append(_arrays(share, languages, 0.0))
-        weights.append(_arrays(weight, languages, 1.0))
+        shares.append(_arrays(share, languages))
+        weights.append(_arrays(weight, languages))
     symbols = tables[1].select("code").distinct().count()
     for table in tables.values():
         discard(table)
@@ -225,24 +242,28 @@ def _slotted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(slots), batch.column(2)], schema=_SLOTTED)
 
 
-def _arrays(values: DataFrame, languages: tuple[str, ...], absent: float) -> tuple[np.ndarray, np.ndarray]:
+def _arrays(values: DataFrame, languages: tuple[str, ...]) -> Table:
     found = (
         values.mapInArrow(_slotted, "lang string, slot long, value double")
         .groupBy("lang", "slot")
         .agg(F.max("value").alias("value"))
         .toArrow()
     )
-    slots = found["slot"].to_numpy()
-    hashes, place = np.unique(slots, return_inverse=True)
-    table = np.full((len(hashes), len(languages)), absent)
     column = {lang: i for i, lang in enumerate(languages)}
-    which = np.array([column[x] for x in found["lang"].to_pylist()], dtype=np.int64)
-    table[place, which] = found["value"].to_numpy()
-    return hashes.astype(np.uint64), table
+    which = np.array([column[x] for x in found["lang"].to_pylist()], dtype=np.int16)
+    slots = found["slot"].to_numpy()
+    order = np.lexsort((which, slots))
+    hashes, starts = np.unique(slots[order], return_index=True)
+    return (
+        hashes.astype(np.uint64),
+        np.append(starts, len(slots)).astype(np.int64),
+        which[order],
+        found["value"].to_numpy()[order],
+    )
 
 
 _SCORED = pa.schema(
-    [("doc_id", pa.int64()), ("lang", pa.string()), ("best", pa.string()), ("margin", pa.float64()), ("entropy", pa.float64())]
+    [("doc_id", pa.int64()), ("lang", pa.string()), ("best", pa.string()), ("margin", pa.float64()), ("entropy", pa.float64()), ("size", pa.int64())]
 )
 
 
@@ -279,50 +300,124 @@ def _scored(model) -> Callable:
                 for i in np.flatnonzero(letters):
                     best[i] = models.languages[order[i, 0]]
             yield pa.RecordBatch.from_arrays(
-                [ids, langs, pa.array(best, pa.string()), pa.array(margin), pa.array(entropy)], schema=_SCORED
+                [ids, langs, pa.array(best, pa.string()), pa.array(margin), pa.array(entropy), pa.array(size.astype(np.int64))], schema=_SCORED
             )
 
     return found
 
 
+def _spread(scored: DataFrame) -> tuple[dict[str, tuple[float, float, float]], float]:
+    """Per language mean, variance of texts and variance of one character of the
+    cross-entropy, and the cut of the deviations (languages x 64 rows reach the driver)."""
+    length = F.least(F.floor(F.log2(F.col("size"))), F.lit(31)).alias("length")
+    bins = (
+        scored.groupBy("lang", length)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("entropy").alias("total"),
+            F.sum(F.col("entropy") * F.col("entropy")).alias("squares"),
+            F.avg(1 / F.col("size")).alias("short"),
+        )
+        .collect()
+    )
+    fits = {}
+    for lang in {b.lang for b in bins}:
+        own = [b for b in bins if b.lang == lang]
+        n = np.array([b.n for b in own], dtype=float)
+        # Long texts say more about the mean.
+        trust = n / (0.01 + np.array([b.short for b in own]))
+        mean = float(np.dot(trust, [b.total / b.n for b in own]) / trust.sum())
+        off = np.array([b.squares / b.n - 2 * mean * b.total / b.n + mean * mean for b in own])
+        short = np.array([b.short for b in own])
+        # Variance = of texts + of one character / characters, by weighted least squares.
+        middle, level = np.average(short, weights=n), np.average(off, weights=n)
+        width = np.average((short - middle) ** 2, weights=n)
+        slope = np.average((short - middle) * (off - level), weights=n) / width if width > 0 else 0.0
+        slope = min(max(slope, 0.0), level / middle)
+        fits[lang] = (mean, max(float(level - slope * middle), 1e-6), max(float(slope), 0.25))
+    if not fits:
+        return fits, 0.0
+    steps = (
+        scored.groupBy(F.ceil(F.greatest(F.lit(0.0), F.least(_deviation(fits, "lang"), F.lit(64.0))) * 4).alias("step"))
+        .count()
+        .orderBy(F.desc("step"))
+        .collect()
+    )
+    beyond, allowed = 0, _OUTLIERS * sum(r["count"] for r in steps)
+    for row in steps:
+        beyond += row["count"]
+        if beyond > allowed:
+            return fits, row.step / 4
+    return fits, 0.0
+
+
+def _deviation(fits: dict[str, tuple[float, float, float]], language: str) -> Column:
+    """How many deviations a text's cross-entropy lies above its language's mean."""
+    pairs = [
+        x
+        for lang, (mean, texts, char) in sorted(fits.items())
+        for x in (F.lit(lang), F.array(F.lit(mean), F.lit(texts), F.lit(char)))
+    ]
+    if not pairs:
+        return F.lit(0.0)
+    fit = F.element_at(F.create_map(*pairs), F.col(language))
+    off = (F.col("entropy") - fit[0]) / F.sqrt(fit[1] + fit[2] / F.greatest("size", F.lit(1)))
+    # A language without calibrating texts rejects nothing.
+    return F.coalesce(off, F.lit(0.0))
+
+
 def identify(docs: DataFrame, reject: float = 0.5) -> DataFrame:
-    """``(doc_id, held_out, lang_pred, score, entropy, rejected)``, a row for each row of ``docs``.
+    """``(doc_id, held_out, lang_pred, score, entropy, deviation, rejected)``, a row for each row of ``docs``.
 
     Models and calibration come from rows with a language that are not held out.
     ``lang_pred`` is ``und`` if the text is null or has no letter, or if there is
     no model at all; then ``score`` is 0. Otherwise ``score`` is the chance that
-    the language is right, and ``rejected`` says that it is below ``reject``.
-    docs: ``doc_id, text, lang``; other columns are not read, and ``lang`` only of
-    rows that are learned from.
+    the language is right, made smaller for a cross-entropy (``deviation``) above
+    that of nearly all calibrating texts; ``rejected`` says that it is below
+    ``reject``, and ``lang_pred`` is then the nearest language. Of languages with
+    equal cross-entropy the first by code point is taken. Repeated rows are counted and
+    answered each. A text above 1 MiB is scored in parts as a whole; the first three
+    characters of a part see no earlier ones. docs: ``doc_id, text, lang``; other
+    columns are not read, and ``lang`` only of rows that are learned from.
     """
     held = held_out(F.col("doc_id"))
+    drawn = F.pmod(F.xxhash64("text"), F.lit(_ASIDE)) == 0
     read = docs.select(
         F.col("doc_id").cast("long"),
         F.col("text").cast("string"),
         F.when(~held, F.col("lang").cast("string")).alias("lang"),
     )
+    # A language with no other texts is counted from those that would calibrate.
+    alone = read.where("lang is not null and text is not null").groupBy("lang").agg(F.bool_and(drawn).alias("all"))
+    lonely = [r.lang for r in alone.where("all").select("lang").collect()]
+    aside = drawn & ~F.coalesce(F.col("lang").isin(lonely), F.lit(False))
     # A broadcast names its classes, so it holds the plain parts.
-    models = docs.sparkSession.sparkContext.broadcast(learn(read).parts())
+    models = docs.sparkSession.sparkContext.broadcast(learn(read.where(~aside)).parts())
     scored = save(
-        read.mapInArrow(
-            _scored(models), "doc_id long, lang string, best string, margin double, entropy double"
+        read.withColumn("lang", F.when(aside, F.col("lang"))).mapInArrow(
+            _scored(models), "doc_id long, lang string, best string, margin double, entropy double, size long"
         ),
         "scored",
     )
+    models.destroy()
+    known = scored.where("lang is not null and best is not null")
     bins = (
-        scored.where("lang is not null and best is not null")
-        .groupBy(F.round(F.least("margin", F.lit(50.0)) * 4).alias("bin"), (F.col("lang") == F.col("best")).alias("right"))
+        known.groupBy(F.round(F.least("margin", F.lit(50.0)) * 4).alias("bin"), (F.col("lang") == F.col("best")).alias("right"))
         .count()
         .collect()
     )
     slope, offset = logistic([(b / 4, int(right), n) for b, right, n in bins]) if bins else (1.0, 0.0)
     chance = 1 / (1 + F.exp(-(F.least("margin", F.lit(50.0)) * slope + offset)))
-    score = F.when(F.col("best").isNull(), F.lit(0.0)).otherwise(chance)
-    return scored.select(
+    fits, cut = _spread(known.where("lang = best"))
+    above = F.least(F.greatest(F.col("deviation") - cut, F.lit(0.0)) / _SLACK, F.lit(700.0))
+    fitting = F.exp(-above * float(np.log(2.0)))
+    score = F.when(F.col("best").isNull(), F.lit(0.0)).otherwise(chance * fitting)
+    return scored.withColumn("deviation", _deviation(fits, "best")).select(
         "doc_id",
         held.alias("held_out"),
         F.coalesce("best", F.lit(UNKNOWN)).alias("lang_pred"),
         score.alias("score"),
         "entropy",
+        "deviation",
         (score < reject).alias("rejected"),
     )

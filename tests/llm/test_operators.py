@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.errors import PythonException
+from pyspark.sql import functions as F
 
 from evenkeel.llm import (
     decontaminate,
@@ -293,6 +294,36 @@ def test_language(texts):
     assert [r.lang_pred for r in language.identify(empty).collect()] == ["und"]
 
 
+def test_language_rejects_what_it_did_not_learn(spark):
+    """Other scripts, another language and noise at three lengths; hardly any held-out document."""
+    strange = [
+        "Все люди рождаются свободными и равными в своём достоинстве и правах. ",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. ",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. ",
+        "xkcd qzvw ptrk bnmh jjwq zzkx vrtp lqds hgfk wwxz pqrt mnbv ",
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心",
+    ]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    extra = [(-1 - i, t * n, None) for i, (t, n) in enumerate((t, n) for t in strange for n in (1, 5, 50))]
+    # Repeated rows, ties and clashing columns change nothing.
+    more = spark.createDataFrame(extra + extra[:1], docs.schema)
+    got = language.identify(docs.unionByName(more).withColumn("size", F.lit("x"))).collect()
+    assert len([r for r in got if r.doc_id == -1]) == 2
+    assert [r.doc_id for r in got if r.doc_id < 0 and not r.rejected] == []
+    own = [r for r in got if r.doc_id >= 0 and r.held_out and r.lang_pred != "und"]
+    assert sum(r.rejected for r in own) <= 0.02 * len(own)
+
+
+def test_language_tie_goes_to_the_first(texts):
+    rows = [(i, "aba bab") for i in range(40)]
+    got = language.identify(texts(*rows, lang=["yy", "xx"] * 20))
+    assert {r.lang_pred for r in got.collect()} <= {"xx", "yy"}
+    models = language.learn(texts((1, "abab"), (2, "abab"), lang=["yy", "xx"]))
+    codes, _, _ = language._grams(["aba"])
+    logs = models.log_shares(codes)
+    assert models.languages == ("xx", "yy") and (logs[:, 0] == logs[:, 1]).all()
+
+
 def test_kneser_ney_shares_sum_to_one(texts):
     models = language.learn(texts((1, "abab baba abba"), (2, "bbaa"), lang=["xx", "xx"]))
     codes, _, _ = language._grams(["ab"])
