@@ -3,7 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps; ``run``
 writes every result as Parquet below the shared scratch folder and reads it back as
 the next stage's input. ``doc_id`` tells documents apart. A document without id
-passes the filter and the dedup stages as itself and is left out of the mix.
+passes the filter and the dedup stages as itself and is left out of the mix. Null and
+empty texts are equal texts; further columns are carried along; empty tables give an
+empty result.
 """
 
 from __future__ import annotations
@@ -17,9 +19,11 @@ from evenkeel.llm.mixing import mixed_documents
 from evenkeel.llm.ngram_join import Similarity, jaccard_components
 from evenkeel.llm.quality import quality_scores
 from evenkeel.llm.scratch import save
+from evenkeel.llm.text import WHITESPACE
 
 # A document is rejected if its chance to be of good quality is lower.
 LEAST_QUALITY = 0.5
+_DIGEST = "__text_sha256"
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -36,8 +40,26 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _without(docs, exact_duplicates(docs).where("not kept"))
+    """One document of each group of equal texts.
+
+    Rows that repeat an id with an equal text leave one; an id with several texts is
+    decided text by text.
+    """
+    told = save(exact_duplicates(docs), "told")
+    dropped = told.where("not kept")
+    again = told.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    again = again.where("n > 1").select("doc_id")
+    if again.isEmpty():
+        return _without(docs, dropped)
+    bare = F.translate(F.coalesce("text", F.lit("")), WHITESPACE, "")
+    each = (
+        docs.join(again, "doc_id", "left_semi")
+        .withColumn(_DIGEST, F.sha2(bare.cast("binary"), 256))
+        .dropDuplicates(["doc_id", _DIGEST])
+    )
+    gone = dropped.select("doc_id", F.col("text_sha256").alias(_DIGEST)).distinct()
+    kept = each.join(gone, ["doc_id", _DIGEST], "left_anti").select(*docs.columns)
+    return _without(docs, dropped.select("doc_id").unionByName(again)).unionByName(kept)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
