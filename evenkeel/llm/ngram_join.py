@@ -14,10 +14,13 @@ In each posting list all nodes are paired with the list's two ends only; pairs w
 enough common shingles are compared, close ones form clusters, and where a cluster is
 not connected by then each node is compared with its pivot. Inside a cluster a second prefix filter works on what differs from the pivot,
 so a large group of copies makes no quadratic number of pairs; across clusters the
-posting lists decide. Before whole sets are brought together, pairs pass a parity
-bitmap of each set: the bits in which two bitmaps differ are at most the shingles in
-which the sets differ, so only pairs that cannot link are left out. Every link is
-verified on the whole sets.
+posting lists decide. A long posting list is cut into lots that different tasks pair
+with the list. Before whole sets are brought together, pairs pass a parity
+bitmap of each set, made along with the prefix: the bits in which two bitmaps differ
+are at most the shingles in which the sets differ, so only pairs that cannot link are
+left out. Every link is verified on the whole sets, which are built once for all
+comparisons of a round; those of a document in many pairs are copied, so that its
+pairs spread over tasks.
 """
 
 from __future__ import annotations
@@ -41,6 +44,11 @@ from evenkeel.llm.text import batched, rows, shingle_set
 _SLOT_BITS = 21
 _BLOCK_BITS = 16
 _LANES = 64
+# Pairs that meet one copy of a set, and rows of a posting list in one lot.
+_SHARE = 512
+_LOT = 2048
+# So many much paired documents are broadcast; more are joined by shuffle.
+_SMALL = 100_000
 
 
 @dataclass(frozen=True)
@@ -77,30 +85,35 @@ def jaccard_components(docs: DataFrame, similarity: Similarity = Similarity()) -
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     sketch = spark.sparkContext.broadcast(_frequencies(texts, similarity.words))
     prefixes = save(texts.mapInArrow(_prefixes(similarity, sketch), _PREFIX_TYPE), "prefixes")
+    sketch.destroy()
 
     named = prefixes.where("size > 0").groupBy("print").agg(
         F.min("doc_id").alias("node"),
         F.first("size").alias("size"),
         F.first("matches").alias("matches"),
         F.first("prefix").alias("prefix"),
+        F.first("bitmap").alias("bitmap"),
     )
     nodes = save(named.where("node is not null"), "nodes")
     links = _links(texts, nodes, similarity)
     labels = components(links)
-    discard(links)
 
     members = nodes.select("print", "node").join(labels, "node", "left").select(
         "print", F.coalesce("component", "node").alias("component")
     )
-    return (
+    told = save(
         prefixes.select("doc_id", "size", "print")
         .join(members, "print", "left")
         .select(
             "doc_id",
             F.col("size").alias("n_shingles"),
             F.coalesce("component", "doc_id").alias("component_id"),
-        )
+        ),
+        "components",
     )
+    for table in (links, labels, nodes, prefixes):
+        discard(table)
+    return told
 
 
 def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFrame:
@@ -134,22 +147,27 @@ def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFr
         .select("a", "b"),
         "first",
     )
-    likely = _plausible(texts, first, similarity, close=0.5)
+    bitmaps = nodes.select("node", F.col("bitmap").alias("value"))
+    likely = _plausible(bitmaps, first, similarity, close=0.5)
+    sets = _sets_of(texts, likely, similarity)
     scored = save(
-        _with_sets(texts, likely, similarity).mapInArrow(
+        _with_both(sets, likely).mapInArrow(
             _compared(similarity, close=0.5), "a long, b long, linked boolean"
         ),
         "scored",
     )
     near = scored.where("linked").select("a", "b")
-    clusters = components(scored).withColumnRenamed("component", "cluster")
+    clusters = components(scored)
+    joined = components(near)
     grouped = save(
-        clusters.join(components(near), "node", "left").select(
-            "node", "cluster", F.coalesce("component", "node").alias("component")
-        ),
+        clusters.withColumnRenamed("component", "cluster")
+        .join(joined, "node", "left")
+        .select("node", "cluster", F.coalesce("component", "node").alias("component")),
         "grouped",
     )
-    told = save(_deltas(texts, _pivots(scored, grouped), similarity), "told")
+    told = save(_deltas(sets, _pivots(scored, grouped), similarity), "told")
+    for table in (sets, clusters, joined):
+        discard(table)
 
     placed = save(
         hits.drop("low", "high")
@@ -157,20 +175,24 @@ def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFr
         .withColumn("cluster", F.coalesce("cluster", "node")),
         "placed",
     )
+    discard(hits)
+    ranked = _ranked(told, grouped, similarity)
+    mixed = _mixed(placed)
     rest = save(
-        _within(told, grouped, similarity)
-        .union(_across(placed, similarity))
+        _within(ranked, similarity)
+        .union(_across(mixed, similarity))
         .join(first, ["a", "b"], "left_anti")
         .distinct(),
         "rest",
     )
-    possible = _plausible(texts, rest, similarity)
-    later = _with_sets(texts, possible, similarity).mapInArrow(
+    possible = _plausible(bitmaps, rest, similarity)
+    sets = _sets_of(texts, possible, similarity)
+    later = _with_both(sets, possible).mapInArrow(
         _compared(similarity), "a long, b long, linked boolean"
     )
     by_pivot = told.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     found = save(near.union(by_pivot).union(later.select("a", "b")).distinct(), "found")
-    for table in (hits, first, likely, scored, grouped, told, placed, rest, possible):
+    for table in (first, likely, scored, grouped, told, placed, ranked, mixed, rest, possible, sets):
         discard(table)
     return found
 
@@ -205,23 +227,21 @@ def _pivots(scored: DataFrame, grouped: DataFrame) -> DataFrame:
     )
 
 
-def _deltas(texts: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
+def _deltas(sets: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
     """``(pivot, node, size, linked, delta)``: the shingles in just one of node and pivot."""
-    both = _with_sets(texts, pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), similarity)
-    return both.mapInArrow(
+    pairs = pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    return _with_both(sets, pairs).mapInArrow(
         _differing(similarity), "pivot long, node long, size int, linked boolean, delta array<long>"
     )
 
 
-def _within(told: DataFrame, grouped: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs ``(a, b)`` of one cluster that may link and are not known to be connected.
+def _lots(rows_in_list: Column) -> Column:
+    """Into how many lots the rows of a posting list are dealt."""
+    return F.ceil(rows_in_list / _LOT).cast("int")
 
-    With pivot p, x and y differ in as many shingles as their deltas to p do. If x and
-    y link and are not both linked to p, the deltas are too large to differ in so few
-    shingles unless they share some: with s = |dx| + |dy| and at most d differing
-    shingles in a link, at least (s - d) / 2. So the shingles of the pivot, which all
-    copies share, no longer make pairs; only common edits do.
-    """
+
+def _ranked(told: DataFrame, grouped: DataFrame, similarity: Similarity) -> DataFrame:
+    """Shingles in which nodes differ from their pivot, rare ones first, with the length of their list."""
     tokens = (
         told.join(grouped.select("node", "component"), "node")
         .select(
@@ -241,8 +261,25 @@ def _within(told: DataFrame, grouped: DataFrame, similarity: Similarity) -> Data
     )
     # The most places any partner can ask for: no more than d + 1, see above.
     widest = F.floor(F.col("size") * (similarity.den - similarity.num) / similarity.num)
-    ranked = save(ranked.where((F.col("seen") > 1) & (F.col("place") <= widest)), "ranked")
-    x, y = ranked.where("not linked").alias("x"), ranked.alias("y")
+    return save(ranked.where((F.col("seen") > 1) & (F.col("place") <= widest)), "ranked")
+
+
+def _within(ranked: DataFrame, similarity: Similarity) -> DataFrame:
+    """Pairs ``(a, b)`` of one cluster that may link and are not known to be connected.
+
+    With pivot p, x and y differ in as many shingles as their deltas to p do. If x and
+    y link and are not both linked to p, the deltas are too large to differ in so few
+    shingles unless they share some: with s = |dx| + |dy| and at most d differing
+    shingles in a link, at least (s - d) / 2. So the shingles of the pivot, which all
+    copies share, no longer make pairs; only common edits do.
+    """
+    lots = _lots(F.col("seen"))
+    x = (
+        ranked.where("not linked")
+        .withColumn("lot", F.pmod(F.xxhash64("node"), lots).cast("int"))
+        .alias("x")
+    )
+    y = ranked.withColumn("lot", F.explode(F.sequence(F.lit(0), lots - 1))).alias("y")
     most = F.floor(
         (F.col("x.size") + F.col("y.size"))
         * (similarity.den - similarity.num)
@@ -254,6 +291,7 @@ def _within(told: DataFrame, grouped: DataFrame, similarity: Similarity) -> Data
             y,
             (F.col("x.pivot") == F.col("y.pivot"))
             & (F.col("x.token") == F.col("y.token"))
+            & (F.col("x.lot") == F.col("y.lot"))
             & (F.col("x.component") != F.col("y.component"))
             & (F.col("y.linked") | (F.col("x.node") < F.col("y.node")))
             & (F.least("x.size", "y.size") * similarity.den >= F.greatest("x.size", "y.size") * similarity.num)
@@ -265,8 +303,8 @@ def _within(told: DataFrame, grouped: DataFrame, similarity: Similarity) -> Data
     )
 
 
-def _across(placed: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs ``(a, b)`` of different clusters that share as many shingles as they must."""
+def _mixed(placed: DataFrame) -> DataFrame:
+    """Posting lists of more than one cluster, with their largest cluster and their length."""
     mixed = placed.join(
         placed.groupBy("token")
         .agg(F.min("cluster").alias("least"), F.max("cluster").alias("most"))
@@ -279,10 +317,23 @@ def _across(placed: DataFrame, similarity: Similarity) -> DataFrame:
         mixed.groupBy("token", "cluster")
         .count()
         .groupBy("token")
-        .agg(F.max(F.struct("count", "cluster"))["cluster"].alias("main"))
+        .agg(
+            F.max(F.struct("count", "cluster"))["cluster"].alias("main"),
+            F.sum("count").alias("listed"),
+        )
     )
-    mixed = mixed.join(largest, "token")
-    x, y = mixed.where("cluster <> main").alias("x"), mixed.alias("y")
+    return save(mixed.join(largest, "token"), "mixed")
+
+
+def _across(mixed: DataFrame, similarity: Similarity) -> DataFrame:
+    """Pairs ``(a, b)`` of different clusters that share as many shingles as they must."""
+    lots = _lots(F.col("listed"))
+    x = (
+        mixed.where("cluster <> main")
+        .withColumn("lot", F.pmod(F.xxhash64("node"), lots).cast("int"))
+        .alias("x")
+    )
+    y = mixed.withColumn("lot", F.explode(F.sequence(F.lit(0), lots - 1))).alias("y")
     demand = F.least("x.matches", "y.matches")
 
     def reached(side: str) -> Column:
@@ -292,6 +343,7 @@ def _across(placed: DataFrame, similarity: Similarity) -> DataFrame:
     met = x.join(
         y,
         (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.lot") == F.col("y.lot"))
         & (F.col("x.cluster") != F.col("y.cluster"))
         & ((F.col("y.cluster") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
         & (F.least("x.size", "y.size") * similarity.den >= F.greatest("x.size", "y.size") * similarity.num)
@@ -308,38 +360,57 @@ def _across(placed: DataFrame, similarity: Similarity) -> DataFrame:
     )
 
 
-def _with_sets(texts: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
-    """``(a, b, x, y)``: pairs with both sets."""
-    return _with_both(texts, pairs, similarity, np.ndarray.tobytes)
-
-
 def _plausible(
-    texts: DataFrame, pairs: DataFrame, similarity: Similarity, close: float = 1.0
+    bitmaps: DataFrame, pairs: DataFrame, similarity: Similarity, close: float = 1.0
 ) -> DataFrame:
     """The pairs ``(a, b)`` whose bitmaps leave ``close`` times the similarity that links possible."""
-    both = _with_both(texts, pairs, similarity, _bitmap)
+    both = _with_both(bitmaps, pairs)
     return save(both.mapInArrow(_possible(similarity, close), "a long, b long").distinct(), "plausible")
 
 
-def _with_both(
-    texts: DataFrame, pairs: DataFrame, similarity: Similarity, form: Callable[[np.ndarray], bytes]
-) -> DataFrame:
-    """``(a, b, x, y)``: pairs with both sets in the given form. Only sets of documents in a pair are built."""
+def _sets_of(texts: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
+    """``(node, value)``: the sets of all documents in a pair, and of some others."""
     context = texts.sparkSession.sparkContext
-    held = [
-        context.broadcast(bloom.build(pairs.select(side).distinct(), F.xxhash64(side)))
-        for side in ("a", "b")
-    ]
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = context.broadcast(bloom.build(ids, F.xxhash64("node")))
     sets = save(
         texts.withColumn("hashed", F.xxhash64("doc_id")).mapInArrow(
-            _sets(similarity.words, form, *held),
-            "doc_id long, shingles binary, first boolean, second boolean",
+            _sets(similarity.words, held), "node long, value binary"
         ),
         "sets",
     )
-    x = sets.where("first").select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-    y = sets.where("second").select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    held.destroy()
+    return sets
+
+
+def _with_both(held: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(a, b, x, y)``: pairs with what ``held(node, value)`` has for either.
+
+    A node in many pairs has its value copied once for every ``_SHARE`` of them.
+    """
+    busy = save(
+        pairs.select(F.explode(F.array("a", "b")).alias("node"))
+        .groupBy("node")
+        .agg(F.ceil(F.count(F.lit(1)) / _SHARE).cast("int").alias("copies"))
+        .where("copies > 1"),
+        "busy",
+    )
+    many = busy.count()
+    busy = F.broadcast(busy) if many <= _SMALL else busy
+    copies = F.coalesce("copies", F.lit(1))
+    for side in ("a", "b") if many else ():
+        pairs = pairs.join(busy.withColumnRenamed("node", side), side, "left").select(
+            *pairs.columns, F.pmod(F.xxhash64("a", "b"), copies).cast("int").alias(f"copy_{side}")
+        )
+    if many:
+        held = held.join(busy, "node", "left").select(
+            "node", "value", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy")
+        )
+    for side, name in (("a", "x"), ("b", "y")):
+        keys = [side, f"copy_{side}"] if many else [side]
+        value = held.withColumnsRenamed({"node": side, "value": name, "copy": f"copy_{side}"})
+        pairs = pairs.join(value, keys)
+    return pairs.select("a", "b", "x", "y")
 
 
 def _bitmap(shingles: np.ndarray) -> bytes:
@@ -412,24 +483,21 @@ def _compared(similarity: Similarity, close: float = 1.0) -> Callable:
     return lambda batches: batched(found(batches), schema)
 
 
-def _sets(words: int, form: Callable[[np.ndarray], bytes], first, second) -> Callable:
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("shingles", pa.binary()), ("first", pa.bool_()), ("second", pa.bool_())]
-    )
+def _sets(words: int, held) -> Callable:
+    schema = pa.schema([("node", pa.int64()), ("value", pa.binary())])
 
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             hashed = batch.column(2).to_numpy().view(np.uint64)
-            sides = [bloom.might_hold(held.value, hashed) for held in (first, second)]
-            for i in np.flatnonzero(sides[0] | sides[1]):
+            for i in np.flatnonzero(bloom.might_hold(held.value, hashed)):
                 doc_id, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 if doc_id is not None and len(found := shingle_set(text, words)):
-                    yield doc_id, form(found), bool(sides[0][i]), bool(sides[1][i])
+                    yield doc_id, found.tobytes()
 
     return lambda batches: batched(kept(batches), schema)
 
 
-_PREFIX_TYPE = "doc_id long, size long, print binary, matches int, prefix array<long>"
+_PREFIX_TYPE = "doc_id long, size long, print binary, matches int, prefix array<long>, bitmap binary"
 
 
 def _prefixes(similarity: Similarity, sketch) -> Callable:
@@ -440,6 +508,7 @@ def _prefixes(similarity: Similarity, sketch) -> Callable:
             ("print", pa.binary()),
             ("matches", pa.int32()),
             ("prefix", pa.list_(pa.int64())),
+            ("bitmap", pa.binary()),
         ]
     )
 
@@ -450,7 +519,7 @@ def _prefixes(similarity: Similarity, sketch) -> Callable:
             shingles = shingle_set(text, similarity.words)
             size = len(shingles)
             if not size:
-                yield doc_id, 0, None, None, None
+                yield doc_id, 0, None, None, None, None
                 continue
             seen = table[(shingles >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)]
             order = np.argsort(
@@ -470,7 +539,8 @@ def _prefixes(similarity: Similarity, sketch) -> Callable:
             )
             best = int(np.argmin(cost))
             prefix = shingles[order[: shortest + best]].view(np.int64)
-            yield doc_id, size, xxhash.xxh3_128_digest(shingles.tobytes()), best + 1, prefix
+            name = xxhash.xxh3_128_digest(shingles.tobytes())
+            yield doc_id, size, name, best + 1, prefix, _bitmap(shingles)
 
     return lambda batches: batched(found(batches), schema)
 

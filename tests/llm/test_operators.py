@@ -58,7 +58,11 @@ def jaccard(x, y, k):
     return (len(x & y), len(x | y)) if x and y else (0, 1)
 
 
-def test_ngram_join_equals_brute_force(spark, texts):
+@pytest.mark.parametrize("share, lot, small", [(512, 2048, 100_000), (2, 3, 0)])
+def test_ngram_join_equals_brute_force(spark, texts, monkeypatch, share, lot, small):
+    monkeypatch.setattr(ngram_join, "_SHARE", share)
+    monkeypatch.setattr(ngram_join, "_LOT", lot)
+    monkeypatch.setattr(ngram_join, "_SMALL", small)
     draw = random.Random(3)
     base = sentence(1, 200).split()
     docs = [(i, sentence(i)) for i in range(10, 20)]
