@@ -8,8 +8,8 @@ costs more rows, but demands l common shingles before a pair is verified, and
 from the estimated frequencies of its prefix follows how many pairs that saves.
 A pair is held to the smaller l of the two, so no link is lost.
 
-Frequencies come from one sketch of fixed size over all documents; they only order
-the shingles and steer l. Documents with equal sets are one node from the start.
+Frequencies come from one sketch over all documents, sized by the text they hold up to
+a bound; they only order the shingles and steer l. Documents with equal sets are one node from the start.
 In each posting list all nodes are paired with the list's two ends only; pairs with
 enough common shingles are compared, close ones form clusters, and where a cluster is
 not connected by then each node is compared with its pivot. Inside a cluster a second prefix filter works on what differs from the pivot,
@@ -28,6 +28,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +39,15 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm import bloom
 from evenkeel.llm.graph import components
-from evenkeel.llm.scratch import discard, save
+from evenkeel.llm.scratch import discard, save, settings
 from evenkeel.llm.text import batched, rows, shingle_set
 
-_SLOT_BITS = 21
+# The sketch has a slot for each word of the corpus, within these bounds, in powers of two.
+_FEWEST_BITS, _MOST_BITS = 16, 24
+_BYTES_A_WORD = 6
 _BLOCK_BITS = 16
+# Counts below this are kept as they are, higher ones in eighths of a power of two.
+_EXACT = 128
 _LANES = 64
 # Pairs that meet one copy of a set, and rows of a posting list in one lot.
 _SHARE = 512
@@ -513,15 +518,16 @@ def _prefixes(similarity: Similarity, sketch) -> Callable:
     )
 
     def found(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-        table = sketch.value
-        noise = float(table.sum(dtype=np.int64)) / len(table)
+        table, counts = sketch.value, _decoded()
+        bits = len(table).bit_length() - 1
+        noise = float(np.bincount(table, minlength=256) @ counts) / len(table)
         for doc_id, text in rows(batches):
             shingles = shingle_set(text, similarity.words)
             size = len(shingles)
             if not size:
                 yield doc_id, 0, None, None, None, None
                 continue
-            seen = table[(shingles >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)]
+            seen = counts[table[(shingles >> np.uint64(64 - bits)).astype(np.int64)]]
             order = np.argsort(
                 (seen.astype(np.uint64) << np.uint64(32)) | (shingles >> np.uint64(32)),
                 kind="stable",
@@ -545,50 +551,77 @@ def _prefixes(similarity: Similarity, sketch) -> Callable:
     return lambda batches: batched(found(batches), schema)
 
 
+def _encoded(counts: np.ndarray) -> np.ndarray:
+    """Counts in one byte each, so that a larger count never has a smaller code."""
+    high = _EXACT + 8 * np.log2(np.maximum(counts, _EXACT) / _EXACT)
+    return np.where(counts < _EXACT, counts, np.minimum(high, 255)).astype(np.uint8)
+
+
+def _decoded() -> np.ndarray:
+    """The count that each of the 256 codes stands for."""
+    codes = np.arange(256)
+    return np.where(codes < _EXACT, codes, _EXACT * 2.0 ** ((codes - _EXACT) / 8)).astype(np.int64)
+
+
 def _frequencies(texts: DataFrame, words: int) -> np.ndarray:
-    """How many documents hold a shingle of each slot, over all documents.
+    """Codes of how many documents hold a shingle of each slot, over all documents.
 
     Tasks send their counts in blocks; blocks are added in lanes and the lanes
-    added again, each as a stream. The table has 2**21 numbers at any input.
+    added again, each as a sorted stream. The table has at most 2**24 bytes.
     """
+    spark = texts.sparkSession
+    size = texts.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    bits = min(max((size // _BYTES_A_WORD).bit_length(), _FEWEST_BITS), _MOST_BITS)
     kind = "block int, lane int, counts binary"
-    counted = texts.mapInArrow(_count_slots(words), kind)
-    for keys in (("block", "lane"), ("block",)):
-        counted = counted.repartition(*keys).mapInArrow(_add_blocks, kind)
-    table = np.zeros(1 << _SLOT_BITS, dtype=np.int32)
-    for block, _, counts in counted.collect():
-        piece = np.frombuffer(zlib.decompress(counts), np.int32)
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}):
+        counted = texts.mapInArrow(_count_slots(words, bits), kind)
+        for keys, last in ((("block", "lane"), False), (("block",), True)):
+            dealt = counted.repartition(*keys).sortWithinPartitions(*keys)
+            counted = dealt.mapInArrow(_add_blocks(keys, last), kind)
+        blocks = counted.collect()
+    table = np.zeros(1 << bits, dtype=np.uint8)
+    for block, _, codes in blocks:
         start = block << _BLOCK_BITS
-        table[start : start + len(piece)] += piece
+        table[start : start + (1 << _BLOCK_BITS)] = np.frombuffer(zlib.decompress(codes), np.uint8)
     return table
 
 
 _BLOCKS = pa.schema([("block", pa.int32()), ("lane", pa.int32()), ("counts", pa.binary())])
+_BLOCK_BYTES = 4 << _BLOCK_BITS
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.tobytes(), codec="lz4", asbytes=True)
 
 
-def _count_slots(words: int) -> Callable:
+def _unpacked(counts: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(counts, _BLOCK_BYTES, codec="lz4", asbytes=True), np.int32)
+
+
+def _count_slots(words: int, bits: int) -> Callable:
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-        table = np.zeros(1 << _SLOT_BITS, dtype=np.int32)
+        table = np.zeros(1 << bits, dtype=np.int32)
         for _, text in rows(batches):
             shingles = shingle_set(text, words)
-            np.add.at(table, (shingles >> np.uint64(64 - _SLOT_BITS)).astype(np.int64), 1)
+            np.add.at(table, (shingles >> np.uint64(64 - bits)).astype(np.int64), 1)
         lane = TaskContext.get().partitionId() % _LANES
-        for block in range(1 << (_SLOT_BITS - _BLOCK_BITS)):
+        for block in range(1 << (bits - _BLOCK_BITS)):
             piece = table[block << _BLOCK_BITS : (block + 1) << _BLOCK_BITS]
             if piece.any():
-                yield block, lane, zlib.compress(piece.tobytes(), 1)
+                yield block, lane, _packed(piece)
 
     return lambda batches: batched(blocks(batches), _BLOCKS)
 
 
-def _add_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[tuple[int, int], np.ndarray] = {}
-    for block, lane, counts in rows(batches):
-        piece = np.frombuffer(zlib.decompress(counts), np.int32)
-        if (block, lane) in sums:
-            sums[block, lane] += piece
-        else:
-            sums[block, lane] = piece.copy()
-    return batched(
-        ((block, lane, zlib.compress(v.tobytes(), 1)) for (block, lane), v in sums.items()), _BLOCKS
-    )
+def _add_blocks(keys: tuple[str, ...], last: bool) -> Callable:
+    """One block for all that follow each other with equal keys; at last in codes."""
+
+    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for _, group in groupby(rows(batches), key=lambda row: row[: len(keys)]):
+            total = np.zeros(1 << _BLOCK_BITS, dtype=np.int64)
+            for block, lane, counts in group:
+                total += _unpacked(counts)
+            total = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
+            yield block, lane, zlib.compress(_encoded(total).tobytes(), 1) if last else _packed(total)
+
+    return lambda batches: batched(sums(batches), _BLOCKS)

@@ -105,6 +105,16 @@ def test_ngram_join_equals_brute_force(spark, texts, monkeypatch, share, lot, sm
     assert [c for i, c in rows if i is None] == [92]
 
 
+def test_codes_of_counts_keep_their_order():
+    counts = np.concatenate([np.arange(300), 2 ** np.arange(9, 31)])
+    codes = ngram_join._encoded(counts)
+    assert (np.diff(codes.astype(int)) >= 0).all()
+    told = ngram_join._decoded()[codes]
+    assert (told[:128] == np.arange(128)).all()
+    within = counts < 7_000_000
+    assert (told[within] <= counts[within]).all() and (told[within] * 1.1 >= counts[within]).all()
+
+
 def test_ngram_join_of_nothing(texts):
     assert ngram_join.jaccard_components(texts()).count() == 0
 
