@@ -1,17 +1,25 @@
-"""N-gram Jaccard join with adaptive multi-match prefixes.
+"""N-gram Jaccard join with adaptive multi-match prefixes over parts of the sets.
 
 Two documents link when their sets of word shingles have a Jaccard similarity of
-at least ``num / den``. Each set is ordered from rare to frequent. If sets x and y
-link, the first ``|x| - ceil(t |x|) + l`` shingles of x and the like prefix of y
-share at least l, for every l. Every document picks its own l: a longer prefix
-costs more rows, but demands l common shingles before a pair is verified, and
-from the estimated frequencies of its prefix follows how many pairs that saves.
-A pair is held to the smaller l of the two, so no link is lost.
+at least ``num / den``. A hash deals the shingles to m parts; m depends on a power of
+two near the set's size, and a set that may link with sets beyond the next power is dealt
+a second time, in their number of parts. If sets x and y link, they differ in at most
+``d = (|x| + |y|) (den - num) / (den + num)`` shingles, hence in at most d of their m
+parts. The parts, empty ones included, are ordered from rare to frequent. Then the first
+d + l parts of x and those of y share at least l, for every l. A part is equal only if all
+its shingles are: texts that have single shingles in common by chance, as the more do the
+more texts there are, meet in no posting list.
+
+Every document picks its own l: a longer prefix costs more rows, but demands l common
+parts before a pair is verified, and from the estimated frequencies of its prefix follows
+how many pairs that saves. A pair is held to the smaller l of the two, so no link is lost.
 
 Frequencies come from one sketch over all documents, sized by the text they hold up to
-a bound; they only order the shingles and steer l. Documents with equal sets are one node from the start.
-In each posting list all nodes are paired with the list's two ends only; pairs with
-enough common shingles are compared, close ones form clusters, and where a cluster is
+a bound; they only order the parts, by their rarest shingle, and steer l. Documents with
+equal sets are one node from the start. Parts of one document only are found by their
+hashes alone; a Bloom filter over the others thins the rows that go on to posting lists.
+In each posting list all nodes are paired with the list's two ends only; these pairs
+are compared, close ones form clusters, and where a cluster is
 not connected by then each node is compared with its pivot. Inside a cluster a second prefix filter works on what differs from the pivot,
 so a large group of copies makes no quadratic number of pairs; across clusters the
 posting lists decide. A long posting list is cut into lots that different tasks pair
@@ -49,6 +57,8 @@ _BLOCK_BITS = 16
 # Counts below this are kept as they are, higher ones in eighths of a power of two.
 _EXACT = 128
 _LANES = 64
+# Parts without shingles come last.
+_EMPTY = 1 << 30
 # Pairs that meet one copy of a set, and rows of a posting list in one lot.
 _SHARE = 512
 _LOT = 2048
@@ -71,8 +81,9 @@ class Similarity:
     row_cost: float = 1.0
     pair_cost: float = 20.0
 
-    def least_overlap(self, size: int) -> int:
-        return -(-size * self.num // self.den)
+    def most_differing(self, size: int) -> int:
+        """In so many shingles a set of this size may differ from one that links with it."""
+        return size * (self.den - self.num) // self.num
 
     def links(self, x: int, y: int, common: int) -> bool:
         return self.den * common >= self.num * (x + y - common)
@@ -107,9 +118,7 @@ def jaccard_components(docs: DataFrame, similarity: Similarity = Similarity()) -
         "print", F.coalesce("component", "node").alias("component")
     )
     told = save(
-        prefixes.select("doc_id", "size", "print")
-        .join(members, "print", "left")
-        .select(
+        prefixes.select("doc_id", "size", "print").join(members, "print", "left").select(
             "doc_id",
             F.col("size").alias("n_shingles"),
             F.coalesce("component", "doc_id").alias("component_id"),
@@ -121,11 +130,27 @@ def jaccard_components(docs: DataFrame, similarity: Similarity = Similarity()) -
     return told
 
 
+def _posted(nodes: DataFrame, similarity: Similarity) -> DataFrame:
+    """``(node, size, matches, place, token)``: all parts that several nodes hold, and few others."""
+    shared = save(
+        nodes.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1"),
+        "shared",
+    )
+    held = nodes.sparkSession.sparkContext.broadcast(bloom.build(shared, F.col("token")))
+    posted = save(
+        nodes.select("node", "size", "matches", "prefix").mapInArrow(
+            _held_parts(similarity, held), "node long, size long, matches int, place int, token long"
+        ),
+        "posted",
+    )
+    held.destroy()
+    discard(shared)
+    return posted
+
+
 def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFrame:
     """Verified links ``(a, b)`` that join the same nodes as all links do."""
-    posted = nodes.select(
-        "node", "size", "matches", F.posexplode("prefix").alias("place", "token")
-    )
+    posted = _posted(nodes, similarity)
     who = F.struct("node", "size", "matches")
     shared = (
         posted.groupBy("token")
@@ -133,6 +158,7 @@ def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFr
         .where("low.node < high.node")
     )
     hits = save(posted.join(shared, "token"), "hits")
+    discard(posted)
 
     ends = hits.select(
         F.explode(F.array("low", "high")).alias("end"), "node", "size", "matches"
@@ -140,16 +166,11 @@ def _links(texts: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFr
     ends = ends.where(
         F.least("end.size", "size") * similarity.den >= F.greatest("end.size", "size") * similarity.num
     )
+    # One common part is enough here: two pairs a row at most, and near copies find their cluster.
     first = save(
-        ends.groupBy(
+        ends.select(
             F.least("end.node", "node").alias("a"), F.greatest("end.node", "node").alias("b")
-        )
-        .agg(
-            F.count(F.lit(1)).alias("common"),
-            F.min(F.least("end.matches", "matches")).alias("demand"),
-        )
-        .where(F.col("common") >= F.col("demand"))
-        .select("a", "b"),
+        ).distinct(),
         "first",
     )
     bitmaps = nodes.select("node", F.col("bitmap").alias("value"))
@@ -331,7 +352,7 @@ def _mixed(placed: DataFrame) -> DataFrame:
 
 
 def _across(mixed: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs ``(a, b)`` of different clusters that share as many shingles as they must."""
+    """Pairs ``(a, b)`` of different clusters that share as many parts as they must."""
     lots = _lots(F.col("listed"))
     x = (
         mixed.where("cluster <> main")
@@ -340,10 +361,11 @@ def _across(mixed: DataFrame, similarity: Similarity) -> DataFrame:
     )
     y = mixed.withColumn("lot", F.explode(F.sequence(F.lit(0), lots - 1))).alias("y")
     demand = F.least("x.matches", "y.matches")
-
-    def reached(side: str) -> Column:
-        size = F.col(f"{side}.size")
-        return F.col(f"{side}.place") < size - F.ceil(size * similarity.num / similarity.den) + demand
+    differing = F.floor(
+        (F.col("x.size") + F.col("y.size"))
+        * (similarity.den - similarity.num)
+        / (similarity.den + similarity.num)
+    )
 
     met = x.join(
         y,
@@ -352,8 +374,8 @@ def _across(mixed: DataFrame, similarity: Similarity) -> DataFrame:
         & (F.col("x.cluster") != F.col("y.cluster"))
         & ((F.col("y.cluster") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
         & (F.least("x.size", "y.size") * similarity.den >= F.greatest("x.size", "y.size") * similarity.num)
-        & reached("x")
-        & reached("y"),
+        & (F.col("x.place") < differing + demand)
+        & (F.col("y.place") < differing + demand),
     )
     return (
         met.groupBy(
@@ -502,6 +524,64 @@ def _sets(words: int, held) -> Callable:
     return lambda batches: batched(kept(batches), schema)
 
 
+def _levels(size: int, similarity: Similarity) -> range:
+    """The powers of two in which a set of this size is dealt: its own and those of larger partners."""
+    return range(size.bit_length(), (size * similarity.den // similarity.num).bit_length() + 1)
+
+
+def _parts(
+    shingles: np.ndarray, seen: np.ndarray, similarity: Similarity, level: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each part of a set, rare parts first, and how often its rarest shingle was seen.
+
+    There are more parts than the shingles in which two sets below ``2 ** level`` that link
+    differ. The order depends on the part alone, whatever set it is from.
+    """
+    differing = similarity.most_differing((1 << level) - 1)
+    parts = differing + 1 + differing // 4
+    at = ((shingles & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    filled, start, held = np.unique(at[order], return_index=True, return_counts=True)
+    tokens = np.zeros(parts, dtype=np.uint64)
+    tokens[filled] = np.add.reduceat(shingles[order], start)
+    rarest = np.full(parts, _EMPTY, dtype=np.int64)
+    rarest[filled] = np.minimum.reduceat(seen[order], start)
+    number = np.zeros(parts, dtype=np.int64)
+    number[filled] = held
+    tokens = _mixed_bits(tokens + (np.arange(parts, dtype=np.uint64) << np.uint64(8)) + np.uint64(level))
+    order = np.lexsort((tokens, -number, rarest))
+    return tokens[order], rarest[order]
+
+
+def _mixed_bits(hashes: np.ndarray) -> np.ndarray:
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(factor)
+    return hashes ^ (hashes >> np.uint64(31))
+
+
+def _held_parts(similarity: Similarity, held) -> Callable:
+    schema = pa.schema(
+        [
+            ("node", pa.int64()),
+            ("size", pa.int64()),
+            ("matches", pa.int32()),
+            ("place", pa.int32()),
+            ("token", pa.int64()),
+        ]
+    )
+
+    def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                node, size, matches = (batch.column(k)[i].as_py() for k in range(3))
+                prefix = batch.column(3)[i].values.to_numpy()
+                width = similarity.most_differing(size) + matches
+                for place in np.flatnonzero(bloom.might_hold(held.value, prefix.view(np.uint64))):
+                    yield node, size, matches, place % width, prefix[place]
+
+    return lambda batches: batched(kept(batches), schema)
+
+
 _PREFIX_TYPE = "doc_id long, size long, print binary, matches int, prefix array<long>, bitmap binary"
 
 
@@ -521,6 +601,8 @@ def _prefixes(similarity: Similarity, sketch) -> Callable:
         table, counts = sketch.value, _decoded()
         bits = len(table).bit_length() - 1
         noise = float(np.bincount(table, minlength=256) @ counts) / len(table)
+        # A slot's count without the shingle that is asked for seldom exceeds this.
+        usual = noise + 2 * noise**0.5
         for doc_id, text in rows(batches):
             shingles = shingle_set(text, similarity.words)
             size = len(shingles)
@@ -528,25 +610,18 @@ def _prefixes(similarity: Similarity, sketch) -> Callable:
                 yield doc_id, 0, None, None, None, None
                 continue
             seen = counts[table[(shingles >> np.uint64(64 - bits)).astype(np.int64)]]
-            order = np.argsort(
-                (seen.astype(np.uint64) << np.uint64(32)) | (shingles >> np.uint64(32)),
-                kind="stable",
-            )
-            shortest = size - similarity.least_overlap(size) + 1
-            longest = min(size, shortest + similarity.most - 1)
-            others = np.maximum(seen[order[:longest]] - 1 - noise, 0)
-            hits = np.cumsum(others)[shortest - 1 :]
+            seen = np.maximum(seen - 1 - usual, 0).astype(np.int64)
+            dealt = [_parts(shingles, seen, similarity, level) for level in _levels(size, similarity)]
+            differing = similarity.most_differing(size)
+            longest = min(differing + similarity.most, *(len(tokens) for tokens, _ in dealt))
+            hits = np.cumsum(dealt[0][1][:longest])[differing:]
             matches = np.arange(1, len(hits) + 1)
-            # Of all partners, at most hits / l can share l shingles.
-            cost = (
-                similarity.row_cost * (shortest + matches - 1)
-                + hits
-                + similarity.pair_cost * hits / matches
-            )
-            best = int(np.argmin(cost))
-            prefix = shingles[order[: shortest + best]].view(np.int64)
+            # Of all partners, at most hits / l can share l parts.
+            cost = similarity.row_cost * (differing + matches) + hits + similarity.pair_cost * hits / matches
+            best = int(np.argmin(cost)) + 1
+            prefix = np.concatenate([tokens[: differing + best] for tokens, _ in dealt]).view(np.int64)
             name = xxhash.xxh3_128_digest(shingles.tobytes())
-            yield doc_id, size, name, best + 1, prefix, _bitmap(shingles)
+            yield doc_id, size, name, best, prefix, _bitmap(shingles)
 
     return lambda batches: batched(found(batches), schema)
 

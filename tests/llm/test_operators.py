@@ -105,6 +105,52 @@ def test_ngram_join_equals_brute_force(spark, texts, monkeypatch, share, lot, sm
     assert [c for i, c in rows if i is None] == [92]
 
 
+def test_texts_with_chance_shingles_in_common_meet_in_no_list(spark, texts, monkeypatch):
+    """Posting lists grow with the near copies."""
+    saved = {}
+    keep = ngram_join.save
+
+    def spy(df, name, *more):
+        told = keep(df, name, *more)
+        if name == "hits":
+            saved["rows in lists"] = told.count()
+        return told
+
+    monkeypatch.setattr(ngram_join, "save", spy)
+    draw = random.Random(8)
+    docs = [(i, " ".join(draw.choices([f"w{k}" for k in range(20)], k=150))) for i in range(300)]
+    docs.append((1000, docs[7][1] + " w1"))
+    got = ngram_join.jaccard_components(texts(*docs), ngram_join.Similarity(words=3, num=90, den=100))
+    assert [i for i, c in found(got, "doc_id", "component_id") if i != c] == [1000]
+    # 300 texts of 148 shingles among 8,000: each shingle is in several texts.
+    assert saved["rows in lists"] < 300
+
+
+@pytest.mark.parametrize("num", [60, 80, 90])
+def test_first_parts_of_sets_that_link_meet(num):
+    draw = np.random.default_rng(num)
+    similarity = ngram_join.Similarity(num=num)
+    for size in [1, 2, 3, 7, 15, 31, 63, 64, 255, 700]:
+        for _ in range(40):
+            x = np.unique(draw.integers(0, 2**64, size, dtype=np.uint64))
+            gone = draw.integers(0, similarity.most_differing(size) + 1)
+            more = draw.integers(0, similarity.most_differing(size) + 1 - gone)
+            added = draw.integers(0, 2**64, more, dtype=np.uint64)
+            y = np.unique(np.concatenate([x[min(gone, size - 1) :], added]))
+            if not similarity.links(len(x), len(y), len(np.intersect1d(x, y))):
+                continue
+            first = []
+            for values in (x, y):
+                seen = (values % np.uint64(5)).astype(np.int64)
+                for level in ngram_join._levels(len(values), similarity):
+                    tokens, rarest = ngram_join._parts(values, seen, similarity, level)
+                    assert (np.diff(rarest) >= 0).all()
+                    first.append((level, tokens[: similarity.most_differing(len(values)) + 1]))
+            half = len(ngram_join._levels(len(x), similarity))
+            met = [np.intersect1d(p, q).size for i, p in first[:half] for j, q in first[half:] if i == j]
+            assert met and max(met) > 0
+
+
 def test_codes_of_counts_keep_their_order():
     counts = np.concatenate([np.arange(300), 2 ** np.arange(9, 31)])
     codes = ngram_join._encoded(counts)
