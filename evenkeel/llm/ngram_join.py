@@ -103,6 +103,7 @@ def jaccard_components(docs: DataFrame, similarity: Similarity = Similarity()) -
     prefixes = save(texts.mapInArrow(_prefixes(similarity, sketch), _PREFIX_TYPE), "prefixes")
     sketch.destroy()
 
+    prints = save(prefixes.select("doc_id", "size", "print"), "prints")
     named = prefixes.where("size > 0").groupBy("print").agg(
         F.min("doc_id").alias("node"),
         F.first("size").alias("size"),
@@ -111,6 +112,7 @@ def jaccard_components(docs: DataFrame, similarity: Similarity = Similarity()) -
         F.first("bitmap").alias("bitmap"),
     )
     nodes = save(named.where("node is not null"), "nodes")
+    discard(prefixes)
     links = _links(texts, nodes, similarity)
     labels = components(links)
 
@@ -118,14 +120,14 @@ def jaccard_components(docs: DataFrame, similarity: Similarity = Similarity()) -
         "print", F.coalesce("component", "node").alias("component")
     )
     told = save(
-        prefixes.select("doc_id", "size", "print").join(members, "print", "left").select(
+        prints.join(members, "print", "left").select(
             "doc_id",
             F.col("size").alias("n_shingles"),
             F.coalesce("component", "doc_id").alias("component_id"),
         ),
         "components",
     )
-    for table in (links, labels, nodes, prefixes):
+    for table in (links, labels, nodes, prints):
         discard(table)
     return told
 

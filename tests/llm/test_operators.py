@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import os
 import random
 import re
 import string
@@ -106,14 +107,17 @@ def test_ngram_join_equals_brute_force(spark, texts, monkeypatch, share, lot, sm
 
 
 def test_texts_with_chance_shingles_in_common_meet_in_no_list(spark, texts, monkeypatch):
-    """Posting lists grow with the near copies."""
-    saved = {}
+    """Posting lists grow with the near copies, and the wide table is gone before they are made."""
+    saved, before = {}, []
     keep = ngram_join.save
 
     def spy(df, name, *more):
         told = keep(df, name, *more)
+        saved.setdefault(name, told)
+        if name == "prefixes":
+            before.extend(f.removeprefix("file://") for f in told.inputFiles())
         if name == "hits":
-            saved["rows in lists"] = told.count()
+            saved["rows in lists"], saved["held"] = told.count(), [f for f in before if os.path.exists(f)]
         return told
 
     monkeypatch.setattr(ngram_join, "save", spy)
@@ -123,6 +127,7 @@ def test_texts_with_chance_shingles_in_common_meet_in_no_list(spark, texts, monk
     got = ngram_join.jaccard_components(texts(*docs), ngram_join.Similarity(words=3, num=90, den=100))
     assert [i for i, c in found(got, "doc_id", "component_id") if i != c] == [1000]
     # 300 texts of 148 shingles among 8,000: each shingle is in several texts.
+    assert before and saved["held"] == []
     assert saved["rows in lists"] < 300
 
 
